@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.operators.ranking import quantile_bucket, running_totals
+from tillgrain.operators.ranking import running_totals, with_quantile_bucket
 
 
 def roc_auc(
@@ -24,13 +24,7 @@ def roc_auc(
         # Uses both counts, so that the quantile subquery below shares this aggregation's exchange.
         .where(F.col("pos") + F.col("neg") > 0)
     )
-    walked = running_totals(
-        points.withColumn("_bucket", quantile_bucket(points, score)),
-        ["neg"],
-        [score],
-        "_bucket",
-        by,
-    )
+    walked = running_totals(with_quantile_bucket(points, score), ["neg"], [score], "_bucket", by)
     # Doubled, to keep the half ties whole.
     wins = (2 * F.col("running_neg") - F.col("neg")).cast("decimal(19,0)")
     return (

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -39,11 +39,15 @@ def running_totals(
     )
 
 
-def quantile_bucket(df: DataFrame, column: str, buckets: int = 128) -> Column:
-    """The number of df's quantile cuts below the value: buckets of about equal size.
+def with_quantile_bucket(
+    df: DataFrame, column: str, name: str = "_bucket", buckets: int = 128
+) -> DataFrame:
+    """Add the number of quantile cuts of the column below the value: buckets of about equal size.
 
     The cuts are one array of fixed length, computed as a subquery.
     """
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     cuts = df.agg(F.percentile_approx(column, steps)).scalar()
-    return F.size(F.filter(cuts, lambda cut: cut < F.col(column)))
+    # A subquery may not stand inside a lambda, so the array becomes a column first.
+    below = F.filter("_cuts", lambda cut: cut < F.col(column))
+    return df.withColumn("_cuts", cuts).withColumn(name, F.size(below)).drop("_cuts")

@@ -4,7 +4,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrain import schemas
@@ -116,15 +116,10 @@ def write_silver(spark: SparkSession, tables: Lake) -> dict[str, int]:
     """Write the clean table and the quarantine; returns the row counts.
 
     The deduplicated, tagged rows are staged once, split by outcome, so the exchange runs once and
-    either table is then written from its own partition. Counts are taken on the way.
+    either table is then written from its own partition.
     """
-    counts = Observation()
     source = lake.read_table(spark, tables.bronze, tables.fmt)
-    tagged = silver.tag_failures(silver.dedup_transactions(source)).observe(
-        counts,
-        F.count_if(F.size("_dq_failures") == 0).alias("clean_rows"),
-        F.count_if(F.size("_dq_failures") > 0).alias("quarantined_rows"),
-    )
+    tagged = silver.tag_failures(silver.dedup_transactions(source))
     staged = stage(
         tagged.withColumn("_rejected", F.size("_dq_failures") > 0), "tagged", "_rejected"
     )
@@ -132,7 +127,9 @@ def write_silver(spark: SparkSession, tables: Lake) -> dict[str, int]:
     quarantined = silver.quarantined_rows(staged.where(F.col("_rejected")))
     lake.overwrite_table(clean, tables.silver, tables.fmt)
     lake.overwrite_table(quarantined, tables.quarantine, tables.fmt)
-    return counts.get
+    # Reads row counts only: the outcome is in the path.
+    counts = {row["_rejected"]: row["count"] for row in staged.groupBy("_rejected").count().collect()}
+    return {"clean_rows": counts.get(False, 0), "quarantined_rows": counts.get(True, 0)}
 
 
 def write_gold(spark: SparkSession, customers: str, tables: Lake) -> None:
@@ -150,11 +147,12 @@ def train(spark: SparkSession, tables: Lake, model_name: str = MODEL_NAME) -> Pi
     """Fit on four fifths of the customers, measure on the rest, store the model, log the run."""
     customers = lake.read_table(spark, f"{tables.gold}/customer_features", tables.fmt)
     split = stage(features.stratified_split(customers), "split", "is_test")
-    model = forest.fit_churn_model(split.where(~F.col("is_test")))
-    scored = stage(forest.score_customers(model, split.where("is_test")), "scored")
     version = registry.next_version(model_runs(spark, tables), model_name).first()["version"]
     path = f"{tables.models}/{model_name}/{version}"
-    model.write().overwrite().save(path)
+    forest.fit_churn_model(split.where(~F.col("is_test"))).write().overwrite().save(path)
+    # What is measured is the stored model, the one that will be served.
+    model = PipelineModel.load(path)
+    scored = stage(forest.score_customers(model, split.where("is_test")), "scored")
     log_model_run(customers, scored, tables, model_name, version, path, model)
     return model
 

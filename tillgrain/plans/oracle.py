@@ -284,7 +284,7 @@ _ctes = {
         FROM clean JOIN features f USING (customer_id) GROUP BY 1, 2""",
     "runs": """
         SELECT 'churn-model' AS model_name, version::INTEGER AS version,
-               round(sum(pos * (below + 0.5::DOUBLE * neg)) / (sum(pos) * sum(neg)), 6) AS roc_auc,
+               round(sum(pos * (below + 0.5::DOUBLE * neg)) / nullif(sum(pos) * sum(neg), 0), 6) AS roc_auc,
                version % 5 <> 0 AS promotable
         FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY version ORDER BY score
                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
@@ -332,7 +332,7 @@ def _score(rows: str) -> str:
 def _auc(rows: str) -> str:
     """AUC of rows(score, churned)."""
     return f"""
-        SELECT sum(pos * (below + 0.5::DOUBLE * neg)) / (sum(pos) * sum(neg)) AS roc_auc
+        SELECT sum(pos * (below + 0.5::DOUBLE * neg)) / nullif(sum(pos) * sum(neg), 0) AS roc_auc
         FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY score
                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
               FROM (SELECT score, count(*) FILTER (churned = 1) AS pos,

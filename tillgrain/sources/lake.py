@@ -1,6 +1,7 @@
 """Readers and writers of lake tables, raw CSV drops and named views."""
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,12 +63,12 @@ def unseen_files(raw: DataFrame, bronze: DataFrame) -> list[str]:
     Only file names are compared, so a file already ingested is never read again. The list is no
     longer than the file listing the driver holds to plan the scan.
     """
-    listing = raw.sparkSession.createDataFrame(
-        [(name,) for name in raw.inputFiles()], "_source_file string"
-    )
-    seen = bronze.select("_source_file").distinct()
-    left = listing.join(seen, "_source_file", "left_anti").orderBy("_source_file")
-    return [row["_source_file"] for row in left.collect()]
+    listing = raw.sparkSession.createDataFrame([(name,) for name in raw.inputFiles()], "name string")
+    # Spark writes a local path as file:/ or file:///, depending on where it is asked.
+    unified = lambda name: F.regexp_replace(name, "^([a-z0-9]+):/+", "$1:/")
+    seen = bronze.select(unified("_source_file").alias("file")).distinct()
+    left = listing.withColumn("file", unified("name")).join(seen, "file", "left_anti")
+    return sorted(unquote(row["name"]) for row in left.select("name").collect())
 
 
 def source_file() -> Column:
