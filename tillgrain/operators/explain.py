@@ -109,11 +109,11 @@ def risk_answers(
         "factors",
         lambda f: F.concat(labels[f["feature"]], F.lit(" ("), f["direction"], F.lit(")")),
     )
-    # Fixed value: the answer's wording.
+    # Fixed value: the answer's wording. The percentage is rounded half to even.
     sentence = F.format_string(
-        "Customer %s has a %.0f%% churn risk score, which is %s. The biggest factors are: %s.",
+        "Customer %s has a %d%% churn risk score, which is %s. The biggest factors are: %s.",
         F.col("customer_id"),
-        F.col(score) * 100,
+        F.rint(F.col(score) * 100).cast("int"),
         risk_band(F.col(score)),
         F.concat_ws(", ", phrases),
     )
