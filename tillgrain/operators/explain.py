@@ -51,32 +51,28 @@ def zscore_factors(
 
     Its direction misleads for tree models; profile_factors is the default.
     """
-    stats = _as_struct(feature_stats(encoded), "mean", "std")
-
     def weight(f: str) -> Column:
-        at = stats.getField(f)
-        deviation = F.col(f) - at.getField("mean")
-        return F.lit(importances[f]) * deviation / (at.getField("std") + NOT_ZERO)
+        deviation = F.col(f) - F.col(f"_of.{f}.mean")
+        return F.lit(importances[f]) * deviation / (F.col(f"_of.{f}.std") + NOT_ZERO)
 
-    return _with_factors(encoded, weight, top, "increases", "decreases")
+    stats = _as_struct(feature_stats(encoded), "mean", "std")
+    return _with_factors(encoded, stats, weight, top, "increases", "decreases")
 
 
 def profile_factors(
     encoded: DataFrame, importances: Mapping[str, float], top: int = 3
 ) -> DataFrame:
     """Importance times how much nearer the value is to the churned than to the retained average."""
-    profiles = _as_struct(reference_profiles(encoded), "churned_avg", "retained_avg")
 
     def weight(f: str) -> Column:
-        churned = profiles.getField(f).getField("churned_avg")
-        retained = profiles.getField(f).getField("retained_avg")
+        churned, retained = F.col(f"_of.{f}.churned_avg"), F.col(f"_of.{f}.retained_avg")
         nearer = F.abs(F.col(f) - retained) - F.abs(F.col(f) - churned)
         return F.lit(importances[f]) * nearer / (F.abs(churned - retained) + NOT_ZERO)
 
+    profiles = _as_struct(reference_profiles(encoded), "churned_avg", "retained_avg")
     # How answers state the direction.
-    return _with_factors(
-        encoded, weight, top, "typical of customers who churn", "typical of customers who stay"
-    )
+    positive, negative = "typical of customers who churn", "typical of customers who stay"
+    return _with_factors(encoded, profiles, weight, top, positive, negative)
 
 
 def factor_rows(explained: DataFrame) -> DataFrame:
@@ -147,9 +143,17 @@ def _as_struct(per_feature: DataFrame, *measures: str) -> Column:
 
 
 def _with_factors(
-    encoded: DataFrame, weight: Callable[[str], Column], top: int, positive: str, negative: str
+    encoded: DataFrame,
+    measures: Column,
+    weight: Callable[[str], Column],
+    top: int,
+    positive: str,
+    negative: str,
 ) -> DataFrame:
-    weighed = encoded.withColumns({f"_weight_{f}": weight(f) for f in FEATURES})
+    # The subquery is put into one column: every other mention of it would be planned anew.
+    weighed = encoded.withColumn("_of", measures).withColumns(
+        {f"_weight_{f}": weight(f) for f in FEATURES}
+    )
     factors = F.array(
         *[
             F.struct(
@@ -165,5 +169,5 @@ def _with_factors(
         ]
     )
     return weighed.withColumn("factors", F.slice(F.sort_array(factors), 1, top)).drop(
-        *[f"_weight_{f}" for f in FEATURES]
+        "_of", *[f"_weight_{f}" for f in FEATURES]
     )

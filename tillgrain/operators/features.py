@@ -76,12 +76,10 @@ def with_class_weights(features: DataFrame) -> DataFrame:
             F.try_divide(positive + negative, classes * negative).alias("negative"),
         )
     ).scalar()
-    return features.withColumn(
-        "weight",
-        F.when(F.col(LABEL) == 1, weights.getField("positive")).otherwise(
-            weights.getField("negative")
-        ),
+    own = F.when(F.col(LABEL) == 1, F.col("_weights.positive")).otherwise(
+        F.col("_weights.negative")
     )
+    return features.withColumn("_weights", weights).withColumn("weight", own).drop("_weights")
 
 
 def stratified_split(

@@ -53,8 +53,12 @@ def fit_churn_model(train: DataFrame) -> PipelineModel:
         seed=SEED,
     )
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
+    # Spread over all cores whatever files the rows came in, and sorted: trees draw their samples
+    # by row position, so the same rows then give the same forest.
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    spread = with_class_weights(train).repartition(cores, "customer_id")
     stages = [fill, index, as_number, assemble, forest]
-    return Pipeline(stages=stages).fit(with_class_weights(train))
+    return Pipeline(stages=stages).fit(spread.sortWithinPartitions("customer_id"))
 
 
 def score_customers(model: PipelineModel, features: DataFrame) -> DataFrame:

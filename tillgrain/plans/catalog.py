@@ -118,8 +118,11 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _answered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer_rows = _stored_features(spark, sf_dir)
-    sales = stage(_sales(spark, sf_dir), "category_sales")
+    clean = stage(_clean(spark, sf_dir), "silver")
+    sales = stage(gold.category_sales(clean), "category_sales")
+    customer_rows = stage(
+        gold.customer_features(clean, feed.customers(spark, sf_dir)), "customer_features"
+    )
     risk = explain.risk_answers(
         _with_formula_score(features.encode_features(customer_rows), "churn_risk_score"),
         IMPORTANCES,
