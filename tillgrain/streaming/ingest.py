@@ -6,8 +6,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillgrain import schemas
 from tillgrain.operators import silver
+from tillgrain.session import stage
 from tillgrain.sources import lake
 
+SALTS = 16
+
 
 def stream_bronze(
     spark: SparkSession, input_dir: str, output_path: str, checkpoint: str
@@ -42,26 +45,30 @@ def stream_silver(
     """Clean the Bronze rows that arrived since the last run, then stop.
 
     A transaction_id is taken once within replay_window of its arrival; the state store drops ids
-    older than that. Of differing copies in one run any may be the one that is kept. Each batch
-    writes its own partition, overwriting it if the batch is run again, so a retry adds nothing.
+    older than that. Of differing copies in one run any may be the one that is kept. Ids are first
+    made unique per salt, so a much repeated id reaches the task that owns it as a few rows only.
+    Each batch writes its own partition, overwriting it if the batch is run again, so a retry adds
+    nothing.
     """
     arrivals = (
         spark.readStream.schema(schemas.BRONZE_TRANSACTIONS)
         .parquet(bronze_path)
+        .withColumn("_salt", F.col("_metadata.row_index") % SALTS)
         .withColumn("_arrived", F.to_timestamp("_ingested_at"))
         .withWatermark("_arrived", replay_window)
+        .dropDuplicatesWithinWatermark(["transaction_id", "_salt"])
         .dropDuplicatesWithinWatermark(["transaction_id"])
-        .drop("_arrived")
+        .drop("_arrived", "_salt")
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        tagged = silver.tag_failures(batch).persist()
+        # Staged, so that both writes see the same copy of an id even if executors are lost.
+        tagged = stage(silver.tag_failures(batch), "stream_batch")
         for rows, path in (
             (silver.clean_rows(tagged), clean_path),
             (silver.quarantined_rows(tagged), quarantine_path),
         ):
             rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        tagged.unpersist()
 
     return (
         arrivals.writeStream.foreachBatch(write_batch)
