@@ -166,6 +166,11 @@ def dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.with_dirt(feed.transactions(spark, sf_dir), DIRT_FRACTION)
 
 
+@query
+def shuffled_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.shuffled(feed.transactions(spark, sf_dir), "transaction_id", "transaction_ts")
+
+
 @query
 def customers_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "customers")
@@ -545,7 +550,8 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "history")
     logs.append_log(_history(spark, sf_dir), path)
     read = monitor.newest_first(logs.read_log(spark, path, schemas.METRICS_HISTORY))
-    return read.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd"))
+    in_utc = F.to_utc_timestamp("timestamp", F.current_timezone())
+    return read.withColumn("timestamp", F.date_format(in_utc, "yyyy-MM-dd"))
 
 
 @query

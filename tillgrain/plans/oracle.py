@@ -240,6 +240,25 @@ _ctes = {
                     WHEN routed.intent IN ('top_categories', 'category_total', 'total_revenue',
                                            'category_customers') THEN 'category_sales'
                END AS source_table,
+               CASE routed.intent
+                   WHEN 'top_categories' THEN 'SELECT product_category, SUM(total_sales) AS '
+                       || 'total_sales, SUM(total_units) AS total_units FROM category_sales GROUP BY '
+                       || 'product_category ORDER BY total_sales DESC, product_category LIMIT '
+                       || routed.top_n
+                   WHEN 'category_total' THEN 'SELECT product_category, SUM(total_sales) AS '
+                       || 'total_sales, SUM(total_units) AS total_units FROM category_sales WHERE '
+                       || 'lower(product_category) LIKE ''%' || category
+                       || '%'' GROUP BY product_category'
+                   WHEN 'churn_rate' THEN 'SELECT COUNT(*) AS total_customers, SUM(churned) AS '
+                       || 'churned_customers, ROUND(AVG(churned) * 100, 1) AS churn_rate_pct '
+                       || 'FROM customer_features'
+                   WHEN 'total_revenue' THEN
+                       'SELECT SUM(total_sales) AS total_revenue FROM category_sales'
+                   WHEN 'category_customers' THEN 'SELECT product_category, '
+                       || 'SUM(distinct_customers) AS approx_distinct_customers FROM category_sales '
+                       || 'WHERE lower(product_category) LIKE ''%' || category
+                       || '%'' GROUP BY product_category'
+               END AS sql,
                CASE routed.intent
                    WHEN 'customer_risk_explanation' THEN coalesce(risk.answer,
                        'I don''t have a record for customer ' || routed.customer_id
@@ -394,6 +413,7 @@ ORACLE: dict[str, str] = {
     + f"""
         SELECT *, 0.9::DOUBLE AS threshold, overall_score >= 0.9 AS passed
         FROM (SELECT {_score("feed")})""",
+    "shuffled_feed": _with("feed") + f"SELECT {_raw} FROM feed",
     "corrupt_rows": _with("feed") + f"SELECT * FROM {_corrupted}",
     "incident_report": _with("feed")
     + f"""
