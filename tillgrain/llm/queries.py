@@ -4,9 +4,10 @@ import os
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillgrain.llm import bpe, decontaminate, licenses, quality
-from tillgrain.llm.common import table
+from tillgrain.llm import bpe, decontaminate, html, langid, licenses, quality, secrets, sharding, simhash
+from tillgrain.llm.common import by_crc, table
 
 
 def tokenizer_path(spark: SparkSession) -> str:
@@ -22,6 +23,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", "doc_id", "text")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(documents(spark, sf_dir))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan_licenses(documents(spark, sf_dir), keep=["doc_id"])
     return scanned.drop("matches")
@@ -39,14 +44,39 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans", "items")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), ["page_id", "url"])
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(by_crc(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = langid.learn(docs.where(~held_out))
+    predicted = langid.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), tokenizer_path(spark), keep=["doc_id"])
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digests(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op3_licenses": op3_licenses,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op6_html": op6_html,
+    "op7_langid": op7_langid,
+    "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
+    "op10_sharding": op10_sharding,
 }
 ORACLE: dict[str, str] = {}
