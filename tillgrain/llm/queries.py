@@ -6,7 +6,7 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrain.llm import bpe, decontaminate, html, langid, licenses, quality, secrets, sharding, simhash
+from tillgrain.llm import bpe, decontaminate, html, langid, licenses, lm, quality, secrets, sharding, simhash
 from tillgrain.llm.common import by_crc, table
 
 
@@ -27,6 +27,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(documents(spark, sf_dir))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.digests(documents(spark, sf_dir))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan_licenses(documents(spark, sf_dir), keep=["doc_id"])
     return scanned.drop("matches")
@@ -70,6 +74,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_lm": op2_lm,
     "op3_licenses": op3_licenses,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
