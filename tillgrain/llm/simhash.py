@@ -455,9 +455,13 @@ def _print(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id for every row of docs(doc_id, text)."""
-    marked = stage(fingerprints(docs, ["doc_id"]), "simhash-fingerprints")
+def near_duplicates(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The kept columns (by default doc_id), fp, root and component_id for every row of docs(doc_id, text).
+
+    root is the same for all rows of a component: its smallest fingerprint as a signed number.
+    """
+    kept = list(dict.fromkeys(["doc_id", *(keep or [])]))
+    marked = stage(fingerprints(docs, kept), "simhash-fingerprints")
     distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     plan = plan_for(distinct, distinct.count())
     rows = stage(bucket_rows(distinct, plan), "simhash-rows")
@@ -467,8 +471,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     # Most roots have one fingerprint; the groups are as large as components of distinct fingerprints.
     smallest = owned.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = owned.join(smallest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = owned.join(smallest, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select(*kept, "fp", "root", "component_id")
 
 
 def digests(docs: DataFrame) -> DataFrame:
