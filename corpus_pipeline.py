@@ -48,11 +48,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets masked and n_chars counted anew where the text changed."""
-    found = secrets.scan_secrets(docs)
-    text = secrets.redact(F.col("text"), F.col("spans"))
-    n_chars = F.when(F.size("spans") > 0, F.length(text)).otherwise(F.col("n_chars"))
-    changed = {"text": text, "n_chars": n_chars.cast("long")}
-    return found.select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))
+    found = secrets.scan_secrets(docs).withColumn("text", secrets.redact(F.col("text"), F.col("spans")))
+    n_chars = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,6 +105,8 @@ class Automaton:
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """Places of the hit words, in order, and the items with occurring windows."""
+        if not self.code:
+            return np.empty(0, np.int64), set()
         known, blank = self.code.get, self.blank
         coded = "".join([known(w, blank) for w in words])
         starts, lengths, items = [], [], set()

@@ -303,10 +303,11 @@ def digests(docs: DataFrame) -> DataFrame:
     """doc_id with counts by base kind, the digest of the base spans, and all spans."""
     found = scan_secrets(docs, ["doc_id"])
     base = F.filter("spans", lambda s: s["kind"] < len(KINDS))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(KINDS)
-    ]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{name}") for kind, name in enumerate(KINDS)]
     return found.select(
         "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
