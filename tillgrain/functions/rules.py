@@ -1,6 +1,8 @@
 """The two rule sets: pass rules for the quality score, failure reasons for the quarantine."""
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,5 +29,12 @@ FAILURE_REASONS: Rules = {
 }
 
 
+def is_rejected(rules: Rules = FAILURE_REASONS) -> Column:
+    """Whether any reason holds: plain conditions, so that a filter on it is compiled."""
+    return reduce(or_, [F.coalesce(rule(), F.lit(False)) for rule in rules.values()])
+
+
 def failure_reasons(rules: Rules = FAILURE_REASONS) -> Column:
-    return F.array_compact(F.array(*[F.when(rule(), F.lit(name)) for name, rule in rules.items()]))
+    # array_except is compiled, array_compact is interpreted row by row.
+    found = F.array(*[F.when(rule(), F.lit(name)) for name, rule in rules.items()])
+    return F.array_except(found, F.array(F.lit(None).cast("string")))

@@ -1,5 +1,6 @@
 """Bronze: raw drops stored as received, with where and when they came in."""
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,17 @@ def with_lineage(raw: DataFrame, ingested_at: str | None = None) -> DataFrame:
     )
 
 
+def store_batch(batch: DataFrame, output_path: str, batch_id: str, fmt: str = "parquet") -> None:
+    """Add a batch with lineage to the Bronze table, then its file names to the manifest.
+
+    A run that ends between the two stores its files again the next time, which Silver's
+    deduplication takes back; the other order could lose them.
+    """
+    lake.write_batch(batch, output_path, batch_id, fmt)
+    names = batch.select(lake.unified(F.col("_source_file")).alias("file")).where("file IS NOT NULL")
+    lake.write_batch(names.distinct(), lake.manifest_path(output_path), batch_id)
+
+
 def ingest(
     spark: SparkSession,
     input_path: str,
@@ -32,17 +44,10 @@ def ingest(
 
     Appending the same drop twice stores it twice unless skip_seen_files is set.
     """
-    raw = lake.read_csv(spark, input_path, schemas.RAW_TRANSACTIONS)
-    if skip_seen_files:
-        try:
-            bronze = lake.read_table(spark, output_path, fmt)
-        except lake.TableMissing:
-            bronze = None
-        if bronze is not None:
-            files = lake.unseen_files(raw, bronze)
-            if not files:
-                return spark.createDataFrame([], schemas.BRONZE_TRANSACTIONS)
-            raw = lake.read_csv(spark, files, schemas.RAW_TRANSACTIONS)
+    files = lake.unseen_files(spark, input_path, output_path) if skip_seen_files else input_path
+    if not files:
+        return spark.createDataFrame([], schemas.BRONZE_TRANSACTIONS)
+    raw = lake.read_csv(spark, files, schemas.RAW_TRANSACTIONS)
     batch = with_lineage(raw, ingested_at)
-    lake.append_table(batch, output_path, fmt)
+    store_batch(batch, output_path, f"run-{uuid.uuid4().hex}", fmt)
     return batch

@@ -46,13 +46,18 @@ def roc_auc(
 def classification_metrics(
     scored: DataFrame, score: str = "score", label: str = "churned", threshold: float = 0.5
 ) -> DataFrame:
-    """Precision, recall, F1 and accuracy; a ratio without a denominator is 0."""
+    """Precision, recall, F1 and accuracy; a ratio without a denominator is 0.
+
+    Rows without a score or a label stand in no count but in unscored_rows, so that an incomplete
+    scoring shows.
+    """
     predicted, actual = F.col(score) > threshold, F.col(label) == 1
     counts = scored.agg(
         F.count_if(predicted & actual).alias("tp"),
         F.count_if(predicted & ~actual).alias("fp"),
         F.count_if(~predicted & actual).alias("fn"),
         F.count_if(~predicted & ~actual).alias("tn"),
+        F.count_if(F.col(score).isNull() | F.col(label).isNull()).alias("unscored_rows"),
     )
 
     def ratio(part: str, whole: str):
@@ -67,6 +72,7 @@ def classification_metrics(
         ratio("tp", "tp + fn").alias("recall"),
         ratio("2 * tp", "2 * tp + fp + fn").alias("f1"),
         ratio("tp + tn", "tp + fp + fn + tn").alias("accuracy"),
+        "unscored_rows",
     )
 
 

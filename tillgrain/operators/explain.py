@@ -98,7 +98,10 @@ def risk_band(score: Column) -> Column:
 def risk_answers(
     encoded: DataFrame, importances: Mapping[str, float], score: str = "churn_risk_score"
 ) -> DataFrame:
-    """A sentence per customer on score, band and the three main factors."""
+    """A sentence per customer on score, band and the three main factors, with the numbers behind it.
+
+    Where encoded has the version of the model that gave the score, the answer carries it.
+    """
     labels = F.create_map(*[F.lit(x) for pair in FEATURE_LABELS.items() for x in pair])
     explained = profile_factors(encoded, importances)
     phrases = F.transform(
@@ -113,8 +116,15 @@ def risk_answers(
         risk_band(F.col(score)),
         F.concat_ws(", ", phrases),
     )
+    known = "model_version" in encoded.columns
+    version = F.col("model_version") if known else F.lit(None)
     return explained.select(
-        "customer_id", F.col(score), risk_band(F.col(score)).alias("risk_band"), sentence.alias("answer")
+        "customer_id",
+        F.col(score),
+        risk_band(F.col(score)).alias("risk_band"),
+        sentence.alias("answer"),
+        F.to_json(F.struct(F.round(score, 4).alias("churn_risk_score"), *FEATURES)).alias("evidence"),
+        version.cast("int").alias("model_version"),
     )
 
 

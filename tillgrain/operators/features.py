@@ -92,16 +92,18 @@ def stratified_split(
     """
     hashed = features.withColumns(
         {
-            "_hash": F.md5(key),
-            "_bucket": F.substring(F.md5(key), 1, 3),
+            "_hash": F.md5(F.coalesce(F.col(key), F.lit(""))),
+            "_bucket": F.substring(F.md5(F.coalesce(F.col(key), F.lit(""))), 1, 3),
             "_one": F.lit(1).cast("bigint"),
         }
     )
     sizes = features.groupBy(LABEL).agg(
         F.ceil(F.count(F.lit(1)) * F.lit(test_share)).alias("_test_rows")
     )
-    # At most one row per class.
+    # At most one row per class; rows without a key or a label are rows of their class as well.
     ranked = running_totals(hashed, ["_one"], ["_hash", key], "_bucket", [LABEL])
-    return ranked.join(F.broadcast(sizes), LABEL).select(
+    sizes = sizes.withColumnRenamed(LABEL, "_label")
+    same_class = ranked[LABEL].eqNullSafe(sizes["_label"])
+    return ranked.join(F.broadcast(sizes), same_class).select(
         *features.columns, (F.col("running__one") <= F.col("_test_rows")).alias("is_test")
     )

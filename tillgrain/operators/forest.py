@@ -15,6 +15,7 @@ from tillgrain.operators.features import (
     with_class_weights,
 )
 
+PARTITION_ROWS, LEAST_PARTITIONS = 100_000, 8
 NUM_TREES, MAX_DEPTH, MIN_INSTANCES, SEED = 150, 6, 5, 42
 
 
@@ -53,10 +54,10 @@ def fit_churn_model(train: DataFrame) -> PipelineModel:
         seed=SEED,
     )
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    # Spread over all cores whatever files the rows came in, and sorted: trees draw their samples
-    # by row position, so the same rows then give the same forest.
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    spread = with_class_weights(train).repartition(cores, "customer_id")
+    # Partitions by the number of rows, not of cores, and sorted: trees draw their samples by row
+    # position, so the same rows give the same forest on any cluster.
+    parts = max(LEAST_PARTITIONS, -(-train.count() // PARTITION_ROWS))
+    spread = with_class_weights(train).repartition(parts, "customer_id")
     stages = [fill, index, as_number, assemble, forest]
     return Pipeline(stages=stages).fit(spread.sortWithinPartitions("customer_id"))
 

@@ -1,6 +1,8 @@
 """Gold: daily category sales and per-customer features."""
 
 from datetime import date, datetime
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,11 +53,16 @@ def as_of(silver: DataFrame) -> Column:
 
 
 def one_row_per_customer(customers: DataFrame) -> DataFrame:
-    """A repeated customer would repeat the feature row; the smallest record is kept."""
+    """A repeated customer would repeat the feature row; the most complete record is kept.
+
+    Of equally complete records the smallest is kept, NULL standing behind every value.
+    """
     attributes = ("region", "age", "signup_date")
+    missing = reduce(add, [F.col(a).isNull().cast("int") for a in attributes])
+    order = [x for a in attributes for x in (F.col(a).isNull(), F.col(a))]
     return (
         customers.groupBy("customer_id")
-        .agg(F.min(F.struct(*attributes)).alias("record"))
+        .agg(F.min_by(F.struct(*attributes), F.struct(missing, *order)).alias("record"))
         .select("customer_id", *[F.col(f"record.{a}").alias(a) for a in attributes])
     )
 

@@ -1,6 +1,8 @@
 """Running totals over a global order, without a window that holds all rows in one task."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,22 +22,25 @@ def running_totals(
     the same keys, so the rows are exchanged once.
     """
     cell = [*within, bucket]
+    keys = [f"_cell_{c}" for c in cell]
     before = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy(*cell)
         .agg(*[F.sum(t).alias(t) for t in totals])
         .select(
-            *cell,
+            *[F.col(c).alias(k) for c, k in zip(cell, keys)],
             *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"_before_{t}") for t in totals],
         )
     )
     inside = (
         Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
+    # NULL groups are groups: an equality that is never true for them would lose their rows.
+    same_cell = reduce(and_, [df[c].eqNullSafe(offsets[k]) for c, k in zip(cell, keys)])
     return (
-        df.join(offsets, cell)
+        df.join(offsets, same_cell)
         .withColumns({f"running_{t}": F.sum(t).over(inside) + F.col(f"_before_{t}") for t in totals})
-        .drop(*[f"_before_{t}" for t in totals])
+        .drop(*keys, *[f"_before_{t}" for t in totals])
     )
 
 

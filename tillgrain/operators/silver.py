@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tillgrain.functions.numeric import share
 from tillgrain.functions.parsing import parse_quantity, parse_timestamp
-from tillgrain.functions.rules import failure_reasons
+from tillgrain.functions.rules import failure_reasons, is_rejected
 
 _SURVIVOR_ORDER = (
     "transaction_ts",
@@ -37,7 +37,11 @@ def tag_failures(deduped: DataFrame) -> DataFrame:
 
 
 def clean_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.size("_dq_failures") == 0).select(
+    return _clean_columns(tagged.where(F.size("_dq_failures") == 0))
+
+
+def _clean_columns(accepted: DataFrame) -> DataFrame:
+    return accepted.select(
         "transaction_id",
         "customer_id",
         "product_category",
@@ -46,7 +50,7 @@ def clean_rows(tagged: DataFrame) -> DataFrame:
         "transaction_amount",
         "payment_method",
         parse_timestamp(F.col("transaction_ts")).alias("transaction_ts"),
-        *_lineage(tagged, "_ingested_at", "_source_file"),
+        *_lineage(accepted, "_ingested_at", "_source_file"),
     )
 
 
@@ -63,17 +67,20 @@ def quarantined_rows(tagged: DataFrame) -> DataFrame:
 
 
 def clean_transactions(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean, quarantined). To write both, stage the tagged rows once; see plans.flow."""
-    tagged = tag_failures(dedup_transactions(bronze))
-    return clean_rows(tagged), quarantined_rows(tagged)
+    """(clean, quarantined). To write both, stage the tagged rows once; see plans.flow.
+
+    The split is a plain condition; reasons are listed for rejected rows only.
+    """
+    deduped = dedup_transactions(bronze)
+    rejected = deduped.where(is_rejected())
+    return _clean_columns(deduped.where(~is_rejected())), quarantined_rows(tag_failures(rejected))
 
 
 def flow_summary(bronze: DataFrame) -> DataFrame:
     """How many rows came in, were kept and were quarantined; shares are of the rows that came in."""
-    tagged = tag_failures(dedup_transactions(bronze))
-    counts = tagged.agg(
-        F.count_if(F.size("_dq_failures") == 0).alias("clean_rows"),
-        F.count_if(F.size("_dq_failures") > 0).alias("quarantined_rows"),
+    counts = dedup_transactions(bronze).agg(
+        F.count_if(~is_rejected()).alias("clean_rows"),
+        F.count_if(is_rejected()).alias("quarantined_rows"),
     ).withColumn("input_rows", bronze.agg(F.count(F.lit(1))).scalar())
     return counts.select(
         "input_rows",

@@ -128,7 +128,8 @@ def _answered(spark: SparkSession, sf_dir: str) -> DataFrame:
         IMPORTANCES,
     )
     asked = feed.questions(spark, sf_dir)
-    return questions.answer(asked, sales, customer_rows, risk.select("customer_id", "answer"))
+    answered = questions.answer(asked, sales, customer_rows, risk)
+    return answered.drop("evidence", "model_version")
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,20 +292,54 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids that two runs of the Silver stream over one Bronze table let through."""
-    tables = _lake_with_bronze(spark, sf_dir)
-    checkpoint = scratch_path(spark, "stream")
-    for _ in range(2):
-        ingest.stream_silver(
-            spark, tables.bronze, tables.silver, tables.quarantine, checkpoint
-        ).awaitTermination()
+    """Silver as a stream over three drops: the second replays rows and has an old time stamp, the
+    third has none. Returns all columns of the clean table and of the quarantine."""
+    tables, checkpoint = flow.Lake(scratch_path(spark, "lake")), scratch_path(spark, "stream")
+    rows = feed.transactions(spark, sf_dir)
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    drops = (
+        (rows.where(part == 0), "2026-08-30T00:00:00"),
+        (rows.where(part != 2), "2026-08-01T00:00:00"),
+        (rows.where(part != 1), None),
+    )
+    for i, (drop, stamp) in enumerate(drops):
+        batch = drop.select(
+            *schemas.RAW_TRANSACTIONS.names,
+            F.lit(stamp).cast("string").alias("_ingested_at"),
+            F.lit(f"drop-{i}").alias("_source_file"),
+        )
+        bronze.store_batch(batch, tables.bronze, f"drop-{i}")
+        for _ in range(2):
+            ingest.stream_silver(
+                spark, tables.bronze, tables.silver, tables.quarantine, checkpoint
+            ).awaitTermination()
+    clean = lake.read_table(spark, tables.silver).drop("_ingested_at", "_source_file")
+    bad = lake.read_table(spark, tables.quarantine).drop("_ingested_at")
     return (
-        lake.read_table(spark, tables.silver)
-        .select("transaction_id")
-        .unionByName(lake.read_table(spark, tables.quarantine).select("transaction_id"))
+        clean.withColumn("quantity", F.col("quantity").cast("string"))
+        .withColumn("_dq_failures", F.lit(""))
+        .unionByName(
+            bad.withColumn("_dq_failures", F.concat_ws(",", "_dq_failures")), allowMissingColumns=True
+        )
     )
 
 
+@query
+def stream_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Bronze table fed by the stream, by a batch job and by the stream again."""
+    raw, stored = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
+    checkpoint = scratch_path(spark, "stream")
+    rows = feed.transactions(spark, sf_dir)
+    for i in range(3):
+        own = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == i
+        rows.where(own).write.mode("append").option("header", True).csv(raw)
+        if i == 1:
+            bronze.ingest(spark, raw, stored, skip_seen_files=True)
+        else:
+            ingest.stream_bronze(spark, raw, stored, checkpoint).awaitTermination()
+    return _received(lake.read_table(spark, stored))
+
+
 # ---- Gold and its reports --------------------------------------------------------------------
 
 
@@ -454,6 +489,46 @@ def churn_model_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.importance_table(forest.fit_churn_model(rows), rows)
 
 
+@query
+def highest_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = stage(_encoded(spark, sf_dir), "encoded")
+    return forest.highest_risk(_with_formula_score(encoded, "churn_risk_score"))
+
+
+@query
+def churn_model_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of a forest fitted on the customers, whatever its scores are."""
+    rows = stage(features.stratified_split(_stored_features(spark, sf_dir)), "split", "is_test")
+    model = forest.fit_churn_model(rows.where(~F.col("is_test")))
+    scored = stage(forest.score_customers(model, rows), "scored")
+    weights = forest.importances(model)
+    auc = evaluation.roc_auc(scored, "churn_risk_score").scalar()
+    in_range = F.coalesce(F.col("churn_risk_score").between(0, 1), F.lit(False))
+    return scored.agg(
+        F.count("*").alias("rows_scored"),
+        F.bool_and(in_range).alias("scores_in_range"),
+        F.lit(len(weights)).cast("long").alias("importances"),
+        F.lit(abs(sum(weights.values()) - 1) < 1e-6).alias("importances_sum_to_one"),
+    ).withColumn("better_than_chance", auc > 0.5)
+
+
+@query
+def category_reach_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketches' estimate beside the exact number of customers."""
+    clean = stage(_clean(spark, sf_dir), "silver")
+    exact = clean.groupBy("product_category").agg(
+        F.countDistinct("customer_id").alias("distinct_customers")
+    )
+    reach = reports.category_reach(gold.daily_customer_sketches(clean))
+    estimate = next(c for c in reach.columns if c != "product_category")
+    off = F.abs(F.col(estimate) - F.col("distinct_customers"))
+    return exact.join(reach.select("product_category", estimate), "product_category").select(
+        "product_category",
+        "distinct_customers",
+        (off <= 0.05 * F.col("distinct_customers")).alias("estimate_within_5_percent"),
+    )
+
+
 # ---- Explanations ----------------------------------------------------------------------------
 
 
@@ -495,7 +570,8 @@ def risk_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def risk_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = stage(_encoded(spark, sf_dir), "encoded")
-    return explain.risk_answers(_with_formula_score(encoded, "churn_risk_score"), IMPORTANCES)
+    answers = explain.risk_answers(_with_formula_score(encoded, "churn_risk_score"), IMPORTANCES)
+    return answers.drop("evidence", "model_version")
 
 
 # ---- Questions -------------------------------------------------------------------------------
@@ -590,3 +666,46 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         "model_gate_passed",
         F.col("failed_step").isNull().alias("complete"),
     )
+
+
+def _lake_with_scores(spark: SparkSession, sf_dir: str) -> flow.Lake:
+    """A lake up to the stored scores of its production model."""
+    tables, customers = _lake_with_bronze(spark, sf_dir), scratch_path(spark, "customers")
+    lake.write_csv(feed.customers(spark, sf_dir), customers)
+    flow.write_silver(spark, tables)
+    flow.write_gold(spark, customers, tables)
+    flow.train(spark, tables)
+    flow.score(spark, tables)
+    return tables
+
+
+@query
+def production_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer scored by the stored production model."""
+    tables = _lake_with_scores(spark, sf_dir)
+    return lake.read_table(spark, tables.scores).select(
+        "customer_id",
+        "model_version",
+        F.coalesce(F.col("churn_risk_score").between(0, 1), F.lit(False)).alias("score_in_range"),
+    )
+
+
+@query
+def production_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions answered from the stored scores: version and evidence of each explanation, and
+    whether its sentence agrees with the stored score."""
+    tables = _lake_with_scores(spark, sf_dir)
+    answered = flow.answer_questions(spark, tables, feed.questions(spark, sf_dir))
+    score = F.get_json_object("evidence", "$.churn_risk_score").cast("double")
+    asks = F.col("agent_used") == questions.EXPLAINER
+    said = F.regexp_extract("answer", r"a (\d+)% churn risk score, which is (\w+)\.", 1)
+    agrees = F.abs(said.try_cast("double") - 100 * score) <= 0.51
+    return answered.select(
+        "question_id",
+        asks.alias("asks_for_risk"),
+        "model_version",
+        (asks & F.col("evidence").isNotNull()).alias("has_evidence"),
+        F.when(asks & F.col("evidence").isNotNull(), F.coalesce(agrees, F.lit(False)))
+        .otherwise(F.col("answer").isNotNull())
+        .alias("consistent"),
+    )

@@ -11,11 +11,13 @@ from tillgrain import schemas
 from tillgrain.operators import (
     bronze,
     evaluation,
+    explain,
     features,
     forest,
     gold,
     monitor,
     quality,
+    questions,
     registry,
     silver,
 )
@@ -48,6 +50,10 @@ class Lake:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def scores(self) -> str:
+        return f"{self.gold}/customer_scores"
+
     @property
     def model_runs(self) -> str:
         return f"{self.root}/models/runs"
@@ -125,8 +131,9 @@ def write_silver(spark: SparkSession, tables: Lake) -> dict[str, int]:
     )
     clean = silver.clean_rows(staged.where(~F.col("_rejected")))
     quarantined = silver.quarantined_rows(staged.where(F.col("_rejected")))
-    lake.overwrite_table(clean, tables.silver, tables.fmt)
-    lake.overwrite_table(quarantined, tables.quarantine, tables.fmt)
+    # The whole of Bronze is in this one batch, so it may replace what a stream has written so far.
+    lake.replace_batches(clean, tables.silver, "full", tables.fmt)
+    lake.replace_batches(quarantined, tables.quarantine, "full", tables.fmt)
     # Reads row counts only: the outcome is in the path.
     counts = {row["_rejected"]: row["count"] for row in staged.groupBy("_rejected").count().collect()}
     return {"clean_rows": counts.get(False, 0), "quarantined_rows": counts.get(True, 0)}
@@ -231,6 +238,44 @@ def load_production(
     return PipelineModel.load(run_row["model_path"]), run_row["version"]
 
 
+def score(spark: SparkSession, tables: Lake, model_name: str = MODEL_NAME) -> int:
+    """Score every customer with the production model and store the scores; returns its version."""
+    model, version = load_production(spark, tables, model_name)
+    customers = lake.read_table(spark, f"{tables.gold}/customer_features", tables.fmt)
+    scored = forest.score_customers(model, customers)
+    lake.overwrite_table(
+        scored.withColumn("model_version", F.lit(version).cast("int")), tables.scores, tables.fmt
+    )
+    return version
+
+
+def model_importances(spark: SparkSession, tables: Lake, version: int, model_name: str = MODEL_NAME) -> dict[str, float]:
+    """What the run of a version logged: one number for each feature."""
+    run_row = (
+        model_runs(spark, tables)
+        .where((F.col("model_name") == model_name) & (F.col("version") == version))
+        .select("importances")
+        .first()
+    )
+    return {entry["feature"]: entry["importance"] for entry in run_row["importances"]}
+
+
+def answer_questions(
+    spark: SparkSession, tables: Lake, asked: DataFrame, model_name: str = MODEL_NAME
+) -> DataFrame:
+    """Answer questions from the stored Gold tables and the stored scores, explained by the model
+    that gave them."""
+    scores = lake.read_table(spark, tables.scores, tables.fmt)
+    version = scores.agg(F.max("model_version")).first()[0]
+    risk = explain.risk_answers(scores, model_importances(spark, tables, version, model_name))
+    return questions.answer(
+        asked,
+        lake.read_table(spark, f"{tables.gold}/category_sales", tables.fmt),
+        lake.read_table(spark, f"{tables.gold}/customer_features", tables.fmt),
+        risk,
+    )
+
+
 def check_model(
     spark: SparkSession, tables: Lake, min_auc: float, model_name: str = MODEL_NAME
 ) -> DataFrame:

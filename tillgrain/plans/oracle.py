@@ -248,7 +248,8 @@ _ctes = {
                    WHEN 'category_total' THEN 'SELECT product_category, SUM(total_sales) AS '
                        || 'total_sales, SUM(total_units) AS total_units FROM category_sales WHERE '
                        || 'lower(product_category) LIKE ''%' || category
-                       || '%'' GROUP BY product_category'
+                       || '%'' GROUP BY product_category ORDER BY total_sales DESC, '
+                       || 'product_category LIMIT 1'
                    WHEN 'churn_rate' THEN 'SELECT COUNT(*) AS total_customers, SUM(churned) AS '
                        || 'churned_customers, ROUND(AVG(churned) * 100, 1) AS churn_rate_pct '
                        || 'FROM customer_features'
@@ -257,7 +258,8 @@ _ctes = {
                    WHEN 'category_customers' THEN 'SELECT product_category, '
                        || 'SUM(distinct_customers) AS approx_distinct_customers FROM category_sales '
                        || 'WHERE lower(product_category) LIKE ''%' || category
-                       || '%'' GROUP BY product_category'
+                       || '%'' GROUP BY product_category ORDER BY approx_distinct_customers DESC, '
+                       || 'product_category LIMIT 1'
                END AS sql,
                CASE routed.intent
                    WHEN 'customer_risk_explanation' THEN coalesce(risk.answer,
@@ -445,7 +447,14 @@ ORACLE: dict[str, str] = {
         SELECT transaction_id, customer_id, product_category, transaction_amount,
                reasons <> '' AS quarantined
         FROM tagged""",
-    "stream_dedup": _with("feed") + "SELECT DISTINCT transaction_id FROM feed",
+    "stream_dedup": _with("tagged")
+    + """
+        SELECT transaction_id, customer_id, product_category, quantity, transaction_amount,
+               CASE WHEN reasons = '' THEN unit_price END AS unit_price,
+               CASE WHEN reasons = '' THEN payment_method END AS payment_method,
+               CASE WHEN reasons = '' THEN ts END AS transaction_ts, reasons AS _dq_failures
+        FROM tagged""",
+    "stream_and_batch": _received,
     "category_sales": _with("sales") + "SELECT * FROM sales",
     "customer_features": _with("features") + "SELECT * FROM features",
     "churn_summary": _with("features")
@@ -504,7 +513,8 @@ ORACLE: dict[str, str] = {
         FROM (SELECT count(*) FILTER (score > 0.2 AND churned = 1) AS tp,
                      count(*) FILTER (score > 0.2 AND churned = 0) AS fp,
                      count(*) FILTER (score <= 0.2 AND churned = 1) AS fn,
-                     count(*) FILTER (score <= 0.2 AND churned = 0) AS tn FROM scored)""",
+                     count(*) FILTER (score <= 0.2 AND churned = 0) AS tn,
+                     count(*) FILTER (score IS NULL OR churned IS NULL) AS unscored_rows FROM scored)""",
     "baseline_auc": _with("features")
     + _auc(
         """SELECT (SELECT CASE WHEN avg(churned) > 0.5 THEN 1.0 ELSE 0.0 END FROM features) AS score,
@@ -584,4 +594,27 @@ ORACLE: dict[str, str] = {
                fully_passing_rows AS dq_fully_passing_rows, 1 AS model_version,
                true AS model_gate_passed, true AS complete
         FROM (SELECT {_score("feed")})""",
+    "highest_risk": _with("scored")
+    + """
+        SELECT customer_id, region, lifetime_value, days_since_last_purchase,
+               score AS churn_risk_score
+        FROM scored ORDER BY score DESC, customer_id LIMIT 10""",
+    # A fitted forest has no SQL: what must hold of it has.
+    "churn_model_properties": _with("features")
+    + """
+        SELECT count(*) AS rows_scored, true AS scores_in_range, 7::BIGINT AS importances,
+               true AS importances_sum_to_one, true AS better_than_chance FROM features""",
+    "category_reach_check": _with("clean")
+    + """
+        SELECT product_category, count(DISTINCT customer_id) AS distinct_customers,
+               true AS estimate_within_5_percent
+        FROM clean GROUP BY product_category""",
+    "production_scores": _with("features")
+    + "SELECT customer_id, 1 AS model_version, true AS score_in_range FROM features",
+    "production_answers": _with("routed", "features")
+    + """
+        SELECT question_id, routed.intent = 'customer_risk_explanation' AS asks_for_risk,
+               CASE WHEN features.customer_id IS NOT NULL THEN 1 END AS model_version,
+               features.customer_id IS NOT NULL AS has_evidence, true AS consistent
+        FROM routed LEFT JOIN features ON routed.customer_id = features.customer_id""",
 }

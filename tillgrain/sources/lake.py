@@ -1,7 +1,6 @@
 """Readers and writers of lake tables, raw CSV drops and named views."""
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +10,9 @@ from pyspark.sql import types as T
 from tillgrain import schemas
 
 
+BATCH = "batch_id"  # the folder of a batch below a table; not a column of the table
+
+
 class TableMissing(Exception):
     """Nothing has been written at the path yet."""
 
@@ -27,7 +29,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A lake table; fmt "delta" needs the Delta jar on the session's class path."""
     try:
-        return spark.read.format(fmt).load(path)
+        return spark.read.format(fmt).load(path).drop(BATCH)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise TableMissing(path) from error
@@ -42,6 +44,34 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def write_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
+    """Add a batch to a table as a folder of its own; written again it takes its own place.
+
+    Streams and batch jobs share this layout, so either may add to a table of the other.
+    """
+    if fmt == "parquet":
+        df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
+    else:
+        append_table(df, path, fmt)
+
+
+def replace_batches(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
+    """Replace all batches of a table by one."""
+    named = df.withColumn(BATCH, F.lit(batch))
+    named.write.mode("overwrite").format(fmt).partitionBy(BATCH).save(path)
+
+
+def other_batches(spark: SparkSession, path: str, batch: str, schema: T.StructType) -> DataFrame:
+    """Rows of a parquet table but those of one batch; no rows if there is no table yet."""
+    try:
+        stored = spark.read.option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return spark.createDataFrame([], schema)
+        raise
+    return stored.where(F.col(BATCH) != batch).select(*schema.names)
+
+
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
     # Declared, not inferred: inference would read the file once more.
     return read_csv(spark, path, schemas.CUSTOMERS)
@@ -57,18 +87,29 @@ def rows(spark: SparkSession, values: Sequence[tuple], schema: T.StructType | st
     return spark.createDataFrame(list(values), schema)
 
 
-def unseen_files(raw: DataFrame, bronze: DataFrame) -> list[str]:
-    """Input files of raw that no row of bronze came from.
+def manifest_path(table_path: str) -> str:
+    """Where the names of the files that a table was ingested from are kept."""
+    return f"{table_path.rstrip('/')}_files"
+
+
+MANIFEST = T.StructType([T.StructField("file", T.StringType())])
+
+
+def unified(name: Column) -> Column:
+    """Spark writes a local path as file:/ or file:///, depending on where it is asked."""
+    return F.regexp_replace(name, "^([a-z0-9]+):/+", "$1:/")
+
+
+def unseen_files(spark: SparkSession, input_path: str, table_path: str) -> list[str]:
+    """Files below input_path that the table's manifest does not name.
 
-    Only file names are compared, so a file already ingested is never read again. The list is no
-    longer than the file listing the driver holds to plan the scan.
+    The listing is a scan without content, compared with the manifest in the plan. Only the new
+    names come to the driver, which needs them to plan the scan of these files.
     """
-    listing = raw.sparkSession.createDataFrame([(name,) for name in raw.inputFiles()], "name string")
-    # Spark writes a local path as file:/ or file:///, depending on where it is asked.
-    unified = lambda name: F.regexp_replace(name, "^([a-z0-9]+):/+", "$1:/")
-    seen = bronze.select(unified("_source_file").alias("file")).distinct()
-    left = listing.withColumn("file", unified("name")).join(seen, "file", "left_anti")
-    return sorted(unquote(row["name"]) for row in left.select("name").collect())
+    listing = spark.read.format("binaryFile").load(input_path).select("path", source_file().alias("f"))
+    seen = other_batches(spark, manifest_path(table_path), "", MANIFEST)
+    left = listing.join(seen, unified(F.col("f")) == F.col("file"), "left_anti")
+    return sorted(row["path"] for row in left.select("path").collect())
 
 
 def source_file() -> Column:

@@ -1,15 +1,19 @@
-"""Bronze and Silver as file streams: each run takes only the files that are new."""
+"""Bronze and Silver as file streams: each run takes only the files that are new.
+
+Batches are written by foreachBatch as folders of plain files, the layout that batch jobs use too: no
+reader sees fewer files than there are, and a retried batch takes its own place.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillgrain import schemas
-from tillgrain.operators import silver
+from tillgrain.operators import bronze, silver
 from tillgrain.session import stage
 from tillgrain.sources import lake
 
-SALTS = 16
+IDS = "transaction_id"
 
 
 def stream_bronze(
@@ -17,21 +21,23 @@ def stream_bronze(
 ) -> StreamingQuery:
     """Append the CSV files that arrived since the last run, then stop.
 
-    The checkpoint remembers the files, so a drop is stored once however often this runs.
+    The checkpoint remembers the stream's files and the manifest those of batch jobs, so a drop is
+    stored once however often this runs.
     """
     raw = (
         spark.readStream.option("header", True).schema(schemas.RAW_TRANSACTIONS).csv(input_dir)
     )
-    batch = raw.withColumn(
+    arrivals = raw.withColumn(
         "_ingested_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     ).withColumn("_source_file", lake.source_file())
-    return (
-        batch.writeStream.format("parquet")
-        .option("path", output_path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        name = f"stream-{batch_id}"
+        seen = lake.other_batches(spark, lake.manifest_path(output_path), name, lake.MANIFEST)
+        unseen = lake.unified(F.col("_source_file")) == F.col("file")
+        bronze.store_batch(batch.join(seen, unseen, "left_anti"), output_path, name)
+
+    return _once(arrivals, write_batch, checkpoint)
 
 
 def stream_silver(
@@ -40,36 +46,39 @@ def stream_silver(
     clean_path: str,
     quarantine_path: str,
     checkpoint: str,
-    replay_window: str = "7 days",
 ) -> StreamingQuery:
     """Clean the Bronze rows that arrived since the last run, then stop.
 
-    A transaction_id is taken once within replay_window of its arrival; the state store drops ids
-    older than that. Of differing copies in one run any may be the one that is kept. Ids are first
-    made unique per salt, so a much repeated id reaches the task that owns it as a few rows only.
-    Each batch writes its own partition, overwriting it if the batch is run again, so a retry adds
-    nothing.
+    Every row of Bronze is taken, whatever its time stamps. A batch is deduplicated as batch Silver
+    does it; ids that either table already has, NULL included, are replays and left out. What the
+    batch itself has stored does not count, so a retry repeats itself.
     """
     arrivals = (
-        spark.readStream.schema(schemas.BRONZE_TRANSACTIONS)
-        .parquet(bronze_path)
-        .withColumn("_salt", F.col("_metadata.row_index") % SALTS)
-        .withColumn("_arrived", F.to_timestamp("_ingested_at"))
-        .withWatermark("_arrived", replay_window)
-        .dropDuplicatesWithinWatermark(["transaction_id", "_salt"])
-        .dropDuplicatesWithinWatermark(["transaction_id"])
-        .drop("_arrived", "_salt")
+        spark.readStream.schema(schemas.BRONZE_TRANSACTIONS).parquet(bronze_path).drop(lake.BATCH)
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Staged, so that both writes see the same copy of an id even if executors are lost.
-        tagged = stage(silver.tag_failures(batch), "stream_batch")
-        for rows, path in (
-            (silver.clean_rows(tagged), clean_path),
-            (silver.quarantined_rows(tagged), quarantine_path),
-        ):
-            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        name = f"stream-{batch_id}"
+        known = [
+            lake.other_batches(spark, path, name, schema).select(F.col(IDS).alias("_known"))
+            for path, schema in (
+                (clean_path, schemas.SILVER_TRANSACTIONS),
+                (quarantine_path, schemas.QUARANTINE),
+            )
+        ]
+        first = silver.dedup_transactions(batch)
+        new = first.join(
+            known[0].unionByName(known[1]), F.col(IDS).eqNullSafe(F.col("_known")), "left_anti"
+        )
+        # Staged, so that both writes see the same rows even if executors are lost.
+        tagged = stage(silver.tag_failures(new), "stream_batch")
+        lake.write_batch(silver.clean_rows(tagged), clean_path, name)
+        lake.write_batch(silver.quarantined_rows(tagged), quarantine_path, name)
+
+    return _once(arrivals, write_batch, checkpoint)
+
 
+def _once(arrivals: DataFrame, write_batch, checkpoint: str) -> StreamingQuery:
     return (
         arrivals.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
