@@ -146,28 +146,44 @@ def test_sketches_estimate_customers_over_days(spark):
 
 
 def gold_fixture(spark):
+    """Two categories that share a piece of their name, and five customers."""
     sales = lake.rows(
         spark,
         [
-            (date(2026, 1, 1), "Electronics", 1000.0, 10, 8, 10),
-            (date(2026, 1, 2), "Electronics", 500.0, 5, 4, 5),
-            (date(2026, 1, 1), "Books", 200.0, 4, 3, 4),
+            (date(2025, 11, 3), "Garden", 820.5, 7, 5, 6),
+            (date(2025, 11, 4), "Garden", 79.5, 2, 2, 2),
+            (date(2025, 11, 3), "Garage Tools", 310.25, 11, 4, 6),
         ],
         schemas.CATEGORY_SALES,
     )
-    churned = [1, 0, 0, 1]
     features = lake.rows(
-        spark, [(f"CUST{i:06d}", c) for i, c in enumerate(churned, 1)], "customer_id string, churned int"
+        spark,
+        [(f"CUST{i:06d}", int(i in (2, 5))) for i in range(1, 6)],
+        "customer_id string, churned int",
     )
     return sales, features
 
 
 def test_reports(spark):
     sales, features = gold_fixture(spark)
-    assert tuple(reports.churn_summary(features).first()) == (4, 2, 50.0)
-    assert [tuple(r) for r in reports.top_categories(sales, 1).collect()] == [
-        ("Electronics", 1500.0, 15)
-    ]
+    assert tuple(reports.churn_summary(features).first()) == (5, 2, 40.0)
+    assert [tuple(r) for r in reports.top_categories(sales, 1).collect()] == [("Garden", 900.0, 9)]
     assert reports.top_categories(sales, 0).count() == 0
-    assert tuple(reports.category_total(sales, "electr").first()) == ("Electronics", 1500.0, 15)
+    assert tuple(reports.category_total(sales, "rden").first()) == ("Garden", 900.0, 9)
     assert reports.category_total(sales, "zzz").count() == 0
+
+
+def test_the_most_complete_customer_record_is_kept(spark):
+    rows = [
+        ("C1", date(2020, 1, 1), "North", 30.0),
+        ("C1", None, None, None),
+        ("C2", None, "South", None),
+        ("C2", date(2021, 1, 1), None, None),
+    ]
+    kept = gold.one_row_per_customer(
+        lake.rows(spark, rows, "customer_id string, signup_date date, region string, age double")
+    )
+    assert {r["customer_id"]: (r["region"], r["age"]) for r in kept.collect()} == {
+        "C1": ("North", 30.0),
+        "C2": ("South", None),
+    }

@@ -270,3 +270,13 @@ def test_risk_bands_and_half_percentages(spark):
     )
     answer = explain.risk_answers(encoded, IMPORTANCES).first()["answer"]
     assert " has a 62% churn risk score, which is high. The biggest factors are: " in answer
+
+
+def test_rows_without_key_or_label_stay_in_the_split_and_in_the_metrics(spark):
+    values = [(f"c{i}", i % 2) for i in range(20)] + [(None, 1), ("x", None)]
+    rows = lake.rows(spark, values, "customer_id string, churned int")
+    assert features.stratified_split(rows).count() == 22
+    scored = lake.rows(spark, [(0.9, 1), (0.1, 0), (None, 1)], "score double, churned int")
+    assert evaluation.classification_metrics(scored).first()["unscored_rows"] == 1
+    grouped = scored.selectExpr("*", "CASE WHEN churned = 1 THEN NULL ELSE 'g' END AS kind")
+    assert evaluation.roc_auc(grouped, by=["kind"]).count() == 2

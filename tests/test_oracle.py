@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.compare import connect, difference
+from tillgrain.plans.catalog import QUERIES
+from tillgrain.plans.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 WITHOUT_SQL = {"churn_model_scores", "churn_model_importances", "category_reach"}
 
 
@@ -29,6 +30,7 @@ def test_query_equals_its_sql(spark, duck, name):
 def test_every_query_but_the_fitted_and_the_approximate_has_sql():
     assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

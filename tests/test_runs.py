@@ -184,3 +184,35 @@ def test_streams_take_each_file_and_id_once(spark, drop, tmp_path):
     assert run() == (100, 90, 10)
     drop(110, bad=10, name="b.csv")  # a replay of the first hundred, and ten new ones
     assert run() == (210, 100, 10)
+
+
+def test_late_and_unstamped_rows_are_not_lost(spark, tmp_path):
+    from tillgrain.operators import bronze
+
+    path = lambda name: str(tmp_path / name)
+    stamps = [("a", "2026-08-30"), ("b", "2026-08-30"), ("c", "2026-08-01"), ("d", "2026-08-01")]
+    stamps += [("e", "2026-08-01"), ("g", None), (None, None), ("a", "2026-08-01"), (None, "2026-09-01")]
+    for i, (key, stamp) in enumerate(stamps):
+        row = (key, "CUST000001", "Toys", "1", 1.0, 1.0, "cash", "2026-01-01", stamp, f"f{i}")
+        batch = lake.rows(spark, [row], schemas.BRONZE_TRANSACTIONS)
+        bronze.store_batch(batch, path("bronze"), f"b{i}")
+        ingest.stream_silver(
+            spark, path("bronze"), path("clean"), path("bad"), path("c")
+        ).awaitTermination()
+    clean = lake.read_table(spark, path("clean")).collect()
+    assert sorted(r["transaction_id"] or "" for r in clean) == ["", "a", "b", "c", "d", "e", "g"]
+    assert lake.read_table(spark, path("bad")).count() == 0
+
+
+def test_stream_and_batch_share_a_bronze_table(spark, drop, tmp_path):
+    from tillgrain.operators import bronze
+
+    raw, _ = drop(100)
+    path = lambda name: str(tmp_path / name)
+    ingest.stream_bronze(spark, raw, path("bronze"), path("c")).awaitTermination()
+    bronze.ingest(spark, raw, path("bronze"), skip_seen_files=True)
+    assert lake.read_table(spark, path("bronze")).count() == 100
+    drop(20, name="b.csv")
+    bronze.ingest(spark, raw, path("bronze"), skip_seen_files=True)
+    ingest.stream_bronze(spark, raw, path("bronze"), path("c")).awaitTermination()
+    assert lake.read_table(spark, path("bronze")).count() == 120

@@ -56,9 +56,17 @@ def write_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> N
 
 
 def replace_batches(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
-    """Replace all batches of a table by one."""
-    named = df.withColumn(BATCH, F.lit(batch))
-    named.write.mode("overwrite").format(fmt).partitionBy(BATCH).save(path)
+    """Replace all batches of a table by one. The new one is there before the others go."""
+    if fmt != "parquet":
+        overwrite_table(df, path, fmt)
+        return
+    write_batch(df, path, batch)
+    spark = df.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in files.listStatus(root):
+        if entry.getPath().getName() != f"{BATCH}={batch}":
+            files.delete(entry.getPath(), True)
 
 
 def other_batches(spark: SparkSession, path: str, batch: str, schema: T.StructType) -> DataFrame:
