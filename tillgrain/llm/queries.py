@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillgrain.llm import bpe, decontaminate, html, langid, licenses, lm, quality, secrets, sharding, simhash
 from tillgrain.llm.common import by_crc, table
+from tillgrain.llm.oracle import ORACLE  # noqa: F401
 
 
 def tokenizer_path(spark: SparkSession) -> str:
@@ -84,4 +85,4 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
 }
-ORACLE: dict[str, str] = {}
+
