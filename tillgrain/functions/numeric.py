@@ -4,16 +4,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def money_sum(amount: Column) -> Column:
-    """Sum of a double money column.
+def money_parts(amount: Column) -> tuple[Column, Column]:
+    """(cents, rest) of a sum of a double money column, to be added up further by money_total.
 
     Whole cents are added as decimals, which is exact in any order. What is left of an amount after
     its cents, and amounts a decimal cannot hold (NaN, infinities, 1e16 and up), are added as
-    doubles, so nothing is lost. NULL when every amount is NULL.
+    doubles, so nothing is lost.
     """
     cents = amount.try_cast("decimal(18,2)")
     rest = F.when(cents.isNull(), amount).otherwise(amount - cents.cast("double"))
-    return F.sum(rest) + F.coalesce(F.sum(cents).cast("double"), F.lit(0.0))
+    return F.sum(cents), F.sum(rest)
+
+
+def money_total(cents: Column, rest: Column) -> Column:
+    """The sum of both parts; NULL when every amount was NULL."""
+    return rest + F.coalesce(cents.cast("double"), F.lit(0.0))
+
+
+def money_sum(amount: Column) -> Column:
+    return money_total(*money_parts(amount))
 
 
 def money_avg(amount: Column) -> Column:

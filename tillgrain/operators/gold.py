@@ -7,49 +7,70 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.functions.numeric import money_avg, money_sum
+from tillgrain.functions.numeric import money_parts, money_total
 
 CHURN_AFTER_DAYS = 60
 
 
-def category_sales(silver: DataFrame) -> DataFrame:
-    """Sales per (date, category).
+def purchases(silver: DataFrame) -> DataFrame:
+    """Silver added up once per (date, category, customer): all that both Gold tables are made of.
 
-    The distinct count makes Spark group by (date, category, customer) first, so a category that
-    holds most rows is spread over its customers before it comes together.
+    A category or customer that holds most rows is spread over its partners here, before it comes
+    together, and distinct customers and categories become counts of rows of this table.
     """
+    cents, rest = money_parts(F.col("transaction_amount"))
     return (
         silver.withColumn("transaction_date", F.to_date("transaction_ts"))
-        .groupBy("transaction_date", "product_category")
+        .groupBy("transaction_date", "product_category", "customer_id")
         .agg(
-            money_sum(F.col("transaction_amount")).alias("total_sales"),
-            F.sum("quantity").alias("total_units"),
-            F.countDistinct("customer_id").alias("distinct_customers"),
-            F.count("transaction_id").alias("transaction_count"),
+            F.count("transaction_id").alias("transactions"),
+            F.count("transaction_amount").alias("amounts"),
+            F.sum("quantity").alias("units"),
+            cents.alias("cents"),
+            rest.alias("rest"),
+            F.min("transaction_ts").alias("first_ts"),
+            F.max("transaction_ts").alias("last_ts"),
         )
     )
 
 
+def _money() -> Column:
+    return money_total(F.sum("cents"), F.sum("rest"))
+
+
+def category_sales(silver: DataFrame) -> DataFrame:
+    """Sales per (date, category)."""
+    return sales_of(purchases(silver))
+
+
+def sales_of(bought: DataFrame) -> DataFrame:
+    return bought.groupBy("transaction_date", "product_category").agg(
+        _money().alias("total_sales"),
+        F.sum("units").alias("total_units"),
+        F.count("customer_id").alias("distinct_customers"),
+        F.sum("transactions").alias("transaction_count"),
+    )
+
+
 def sorted_sales(sales: DataFrame) -> DataFrame:
     """For reading: a stored table keeps no order."""
     return sales.orderBy("transaction_date", "product_category")
 
 
-def customer_totals(silver: DataFrame) -> DataFrame:
-    amount = F.col("transaction_amount")
-    return silver.groupBy("customer_id").agg(
-        F.count("transaction_id").alias("total_transactions"),
-        money_sum(amount).alias("lifetime_value"),
-        money_avg(amount).alias("avg_transaction_value"),
+def customer_totals(bought: DataFrame) -> DataFrame:
+    return bought.groupBy("customer_id").agg(
+        F.sum("transactions").alias("total_transactions"),
+        _money().alias("lifetime_value"),
+        F.try_divide(_money(), F.sum("amounts")).alias("avg_transaction_value"),
         F.countDistinct("product_category").alias("distinct_categories_purchased"),
-        F.max("transaction_ts").alias("last_purchase_ts"),
-        F.min("transaction_ts").alias("first_purchase_ts"),
+        F.max("last_ts").alias("last_purchase_ts"),
+        F.min("first_ts").alias("first_purchase_ts"),
     )
 
 
-def as_of(silver: DataFrame) -> Column:
+def as_of(bought: DataFrame) -> Column:
     """The latest transaction time, as a subquery: it stays in the plan and reuses its exchange."""
-    return silver.agg(F.max("transaction_ts")).scalar()
+    return bought.agg(F.max("last_ts")).scalar()
 
 
 def one_row_per_customer(customers: DataFrame) -> DataFrame:
@@ -70,14 +91,21 @@ def one_row_per_customer(customers: DataFrame) -> DataFrame:
 def customer_features(
     silver: DataFrame, customers: DataFrame, as_of_date: date | datetime | str | None = None
 ) -> DataFrame:
-    """Features and churn label of every customer with a clean transaction.
+    """Features and churn label of every customer with a clean transaction."""
+    return features_of(purchases(silver), customers, as_of_date)
+
+
+def features_of(
+    bought: DataFrame, customers: DataFrame, as_of_date: date | datetime | str | None = None
+) -> DataFrame:
+    """Features and churn label from what was bought.
 
     Days are calendar days. Without any transaction date the label is 0. Customers not in the
     dimension keep NULL attributes.
     """
-    today = as_of(silver) if as_of_date is None else F.lit(as_of_date)
+    today = as_of(bought) if as_of_date is None else F.lit(as_of_date)
     return (
-        customer_totals(silver)
+        customer_totals(bought)
         .withColumn(
             "days_since_last_purchase",
             F.datediff(F.to_date(today), F.to_date("last_purchase_ts")),

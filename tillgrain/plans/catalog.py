@@ -118,10 +118,10 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _answered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = stage(_clean(spark, sf_dir), "silver")
-    sales = stage(gold.category_sales(clean), "category_sales")
+    bought = stage(gold.purchases(_clean(spark, sf_dir)), "purchases")
+    sales = stage(gold.sales_of(bought), "category_sales")
     customer_rows = stage(
-        gold.customer_features(clean, feed.customers(spark, sf_dir)), "customer_features"
+        gold.features_of(bought, feed.customers(spark, sf_dir)), "customer_features"
     )
     risk = explain.risk_answers(
         _with_formula_score(features.encode_features(customer_rows), "churn_risk_score"),
@@ -246,6 +246,15 @@ def incident_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.incident_report(feed.transactions(spark, sf_dir), INCIDENT_FRACTION)
 
 
+@query
+def incident_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corrupted batch stored as a Bronze table, read again and put before the gate."""
+    tables = flow.Lake(scratch_path(spark, "lake"))
+    batch = quality.inject_incident(feed.transactions(spark, sf_dir), INCIDENT_FRACTION)
+    lake.write_batch(batch, tables.bronze, "incident")
+    return flow.check_quality(spark, tables, quality.DEFAULT_THRESHOLD)
+
+
 # ---- Silver ----------------------------------------------------------------------------------
 
 
@@ -387,10 +396,10 @@ def category_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both Gold tables stored, registered as views and read with SQL."""
     gold_dir = scratch_path(spark, "gold")
-    clean = stage(_clean(spark, sf_dir), "silver")
-    lake.overwrite_table(gold.category_sales(clean), f"{gold_dir}/category_sales")
+    bought = stage(gold.purchases(_clean(spark, sf_dir)), "purchases")
+    lake.overwrite_table(gold.sales_of(bought), f"{gold_dir}/category_sales")
     lake.overwrite_table(
-        gold.customer_features(clean, feed.customers(spark, sf_dir)),
+        gold.features_of(bought, feed.customers(spark, sf_dir)),
         f"{gold_dir}/customer_features",
     )
     lake.register_gold_views(spark, gold_dir)

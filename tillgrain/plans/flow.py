@@ -140,13 +140,13 @@ def write_silver(spark: SparkSession, tables: Lake) -> dict[str, int]:
 
 
 def write_gold(spark: SparkSession, customers: str, tables: Lake) -> None:
+    """Both Gold tables from one pass over Silver."""
     clean = lake.read_table(spark, tables.silver, tables.fmt)
+    bought = stage(gold.purchases(clean), "purchases")
     dimension = lake.read_customers(spark, customers)
+    lake.overwrite_table(gold.sales_of(bought), f"{tables.gold}/category_sales", tables.fmt)
     lake.overwrite_table(
-        gold.category_sales(clean), f"{tables.gold}/category_sales", tables.fmt
-    )
-    lake.overwrite_table(
-        gold.customer_features(clean, dimension), f"{tables.gold}/customer_features", tables.fmt
+        gold.features_of(bought, dimension), f"{tables.gold}/customer_features", tables.fmt
     )
 
 
@@ -249,7 +249,9 @@ def score(spark: SparkSession, tables: Lake, model_name: str = MODEL_NAME) -> in
     return version
 
 
-def model_importances(spark: SparkSession, tables: Lake, version: int, model_name: str = MODEL_NAME) -> dict[str, float]:
+def model_importances(
+    spark: SparkSession, tables: Lake, version: int, model_name: str = MODEL_NAME
+) -> dict[str, float]:
     """What the run of a version logged: one number for each feature."""
     run_row = (
         model_runs(spark, tables)

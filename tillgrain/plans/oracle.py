@@ -422,6 +422,10 @@ ORACLE: dict[str, str] = {
         SELECT *, 0.9::DOUBLE AS threshold, overall_score >= 0.9 AS passed
         FROM (SELECT 'before' AS batch, {_score("feed")}
               UNION ALL SELECT 'after', {_score(_corrupted)})""",
+    "incident_gate": _with("feed")
+    + f"""
+        SELECT *, 0.9::DOUBLE AS threshold, overall_score >= 0.9 AS passed
+        FROM (SELECT {_score(_corrupted)})""",
     "dedup_transactions": _with("deduped") + "SELECT * FROM deduped",
     "silver_clean": _with("clean") + "SELECT * FROM clean",
     "silver_quarantine": _with("tagged")
