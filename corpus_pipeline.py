@@ -7,6 +7,9 @@ smallest id, documents with passages of the benchmark. Secrets are masked in the
 stays. Null texts have no language and go in the first stage.
 """
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +18,27 @@ from tillgrain.llm.common import by_crc, table
 from tillgrain.llm.queries import tokenizer_path
 from tillgrain.session import stage
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def keeping_columns(function: Stage) -> Stage:
+    """The stage with all columns of its input as they were named.
+
+    Columns that documents do not have by themselves are renamed meanwhile, so that none is taken for,
+    or replaced by, a result of the operator that has the same name.
+    """
+
+    @wraps(function)
+    def stage_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        aside = {c: f"_extra_{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        found = function(spark, docs.withColumnsRenamed(aside), sf_dir)
+        return found.withColumnsRenamed({new: old for old, new in aside.items()})
+
+    return stage_of
+
 
+@keeping_columns
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; learned as in op7, from the documents the CRC does not hold out."""
     held_out = F.coalesce(by_crc(F.col("doc_id"), 3) == 1, F.lit(False))
@@ -24,6 +47,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return predicted.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 
+@keeping_columns
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id, and of equal ids the smallest text hash.
 
@@ -39,6 +63,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+@keeping_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of the benchmark."""
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
@@ -46,6 +71,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.where(~F.col("contaminated")).select(*docs.columns)
 
 
+@keeping_columns
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets masked and n_chars counted anew where the text changed."""
     found = secrets.scan_secrets(docs).withColumn("text", secrets.redact(F.col("text"), F.col("spans")))

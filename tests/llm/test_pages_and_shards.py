@@ -162,3 +162,19 @@ def test_pipeline_keeps_clean_documents_and_rejects_the_rest(spark, tmp_path):
     assert "[secret]" in masked[15].text and masked[15].n_chars == len(masked[15].text)
     assert masked[3].text == clean[3] and masked[3].n_chars == len(clean[3])
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == kept["bpe_coding"]
+
+
+def test_columns_that_clash_with_results_pass_through_the_stages(spark, tmp_path):
+    extra = ["spans", "score", "lang_pred", "fp", "root", "items", "contaminated", "_text_hash", "n_words"]
+    df = documents(spark, [prose(i, 60) for i in range(4)] + ["password = abcdefgh12345678", None])
+    df = df.selectExpr("*", *(f"concat('{c}', doc_id) AS {c}" for c in extra))
+    spark.createDataFrame([(1, "no such words here")], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet")
+    )
+    docs = df
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        docs = function(spark, docs, str(tmp_path))
+        assert docs.columns == df.columns
+    rows = docs.collect()
+    assert sorted(r.doc_id for r in rows) == [0, 1, 2, 3, 4]
+    assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in extra)

@@ -167,7 +167,10 @@ class Filter:
         for at in others:
             found &= self.masks[at]
         n = np.diff(np.append(starts, len(keys)))
-        raw = [np.add.reduceat(self.bit(found, k), starts, dtype=np.int64) for k in range(len(self.languages))]
+        raw = [
+            np.add.reduceat(self.bit(found, k), starts, dtype=np.int64)
+            for k in range(len(self.languages))
+        ]
         f = self.false_share[:, None]
         return np.clip((np.array(raw) - n * f) / (1 - f), 0, n), n
 

@@ -38,7 +38,8 @@ OP5 = f"""
 
 def _covered(n: int) -> str:
     """Words of each text inside windows of n words that it holds twice or more, and their characters."""
-    window = " || ' ' || ".join(["word", *(f"lead(word, {i}) OVER (PARTITION BY r ORDER BY p)" for i in range(1, n))])
+    following = (f"lead(word, {i}) OVER (PARTITION BY r ORDER BY p)" for i in range(1, n))
+    window = " || ' ' || ".join(["word", *following])
     return f"""
          c{n} AS (
             SELECT r, count(*) AS words, sum(length(word)) AS chars
@@ -49,6 +50,10 @@ def _covered(n: int) -> str:
             GROUP BY r)"""
 
 
+_over = [f"line_chars::DOUBLE / greatest(word_chars, 1) > {LINE_LIMIT}::DOUBLE"] + [
+    f"coalesce(c{n}.chars, 0)::DOUBLE / greatest(word_chars, 1) > {limit}::DOUBLE"
+    for n, limit in LIMITS.items()
+]
 OP4 = f"""
     WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
@@ -73,8 +78,7 @@ OP4 = f"""
          failed AS (
             SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT base_failed AND NOT (line_chars::DOUBLE / greatest(word_chars, 1) > {LINE_LIMIT}::DOUBLE
-           {" ".join(f"OR coalesce(c{n}.chars, 0)::DOUBLE / greatest(word_chars, 1) > {limit}::DOUBLE" for n, limit in LIMITS.items())}) AS kept
+           NOT base_failed AND NOT ({" OR ".join(_over)}) AS kept
     FROM failed {" ".join(f"LEFT JOIN c{n} USING (r)" for n in LIMITS)}
 """
 

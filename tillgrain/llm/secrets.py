@@ -70,7 +70,9 @@ def spans(text: Column, pattern: str, kind: int, group_min: int = 0) -> Column:
     def all_of(group: int) -> Column:
         return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
-    sizes = F.transform(all_of(0), lambda m: F.struct(F.length(m).alias("size"), F.lit(True).alias("ok")))
+    sizes = F.transform(
+        all_of(0), lambda m: F.struct(F.length(m).alias("size"), F.lit(True).alias("ok"))
+    )
     if group_min:
         sizes = F.zip_with(
             all_of(0),

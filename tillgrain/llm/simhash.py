@@ -224,7 +224,8 @@ class Plan:
                     choice[s][better] = u
             best = new
             taken.append(choice)
-        out, left, every = np.zeros((len(costs), len(fps)), np.int64), np.full(len(fps), whole), np.arange(len(fps))
+        out = np.zeros((len(costs), len(fps)), np.int64)
+        left, every = np.full(len(fps), whole), np.arange(len(fps))
         for i in range(len(costs) - 1, -1, -1):
             out[i] = taken[i][left, every]
             left = left - out[i]
