@@ -216,3 +216,16 @@ def test_stream_and_batch_share_a_bronze_table(spark, drop, tmp_path):
     bronze.ingest(spark, raw, path("bronze"), skip_seen_files=True)
     ingest.stream_bronze(spark, raw, path("bronze"), path("c")).awaitTermination()
     assert lake.read_table(spark, path("bronze")).count() == 120
+
+
+def test_what_is_staged_within_a_scope_is_deleted(spark):
+    import os
+
+    from tillgrain import session
+
+    kept = session.stage(spark.range(3), "kept")
+    with session.staging(spark):
+        path = session.scratch_path(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert os.path.exists(path)
+    assert not os.path.exists(path) and kept.count() == 3

@@ -21,7 +21,7 @@ from tillgrain.operators import (
     registry,
     silver,
 )
-from tillgrain.session import stage
+from tillgrain.session import stage, staging
 from tillgrain.sources import lake, logs
 
 MODEL_NAME = "churn-model"
@@ -86,6 +86,29 @@ def run(
     keep_history: bool = True,
 ) -> None:
     """Run every step; whatever ends the run, a gate or an error, it is put on record first."""
+    with staging(spark):
+        _run(
+            spark,
+            raw_transactions,
+            customers,
+            lake_tables,
+            dq_threshold,
+            min_auc,
+            skip_seen_files,
+            keep_history,
+        )
+
+
+def _run(
+    spark: SparkSession,
+    raw_transactions: str,
+    customers: str,
+    lake_tables: Lake,
+    dq_threshold: float,
+    min_auc: float,
+    skip_seen_files: bool,
+    keep_history: bool,
+) -> None:
     started, step = time.time(), "bronze"
     quality_verdict = model_verdict = None
     try:
