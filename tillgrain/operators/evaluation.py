@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.operators.ranking import running_totals, with_quantile_bucket
+from tillgrain.operators.ranking import running_totals, with_range_bucket
 
 
 def roc_auc(
@@ -21,10 +21,8 @@ def roc_auc(
         scored.where(F.col(score).isNotNull())
         .groupBy(*by, score)
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-        # Uses both counts, so that the quantile subquery below shares this aggregation's exchange.
-        .where(F.col("pos") + F.col("neg") > 0)
     )
-    walked = running_totals(with_quantile_bucket(points, score), ["neg"], [score], "_bucket", by)
+    walked = running_totals(with_range_bucket(points, [*by, score]), ["neg"], [score], "_bucket", by)
     # Doubled, to keep the half ties whole.
     wins = (2 * F.col("running_neg") - F.col("neg")).cast("decimal(19,0)")
     return (

@@ -7,6 +7,8 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillgrain.session import stage
+
 
 def running_totals(
     df: DataFrame,
@@ -44,15 +46,13 @@ def running_totals(
     )
 
 
-def with_quantile_bucket(
-    df: DataFrame, column: str, name: str = "_bucket", buckets: int = 128
-) -> DataFrame:
-    """Add the number of quantile cuts of the column below the value: buckets of about equal size.
+def with_range_bucket(df: DataFrame, order: Sequence[str], name: str = "_bucket") -> DataFrame:
+    """df staged with a bucket that does not decrease along the order: the partition of a range
+    exchange.
 
-    The cuts are one array of fixed length, computed as a subquery.
+    There are as many buckets as the session has shuffle partitions, of about equal size whatever the
+    number of rows, and a group that stands first in the order is cut by itself. Staged, because the
+    ranges are drawn from a sample and must be the same for everything that reads the buckets.
     """
-    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = df.agg(F.percentile_approx(column, steps)).scalar()
-    # A subquery may not stand inside a lambda, so the array becomes a column first.
-    below = F.filter("_cuts", lambda cut: cut < F.col(column))
-    return df.withColumn("_cuts", cuts).withColumn(name, F.size(below)).drop("_cuts")
+    ranged = df.repartitionByRange(*order).withColumn(name, F.spark_partition_id())
+    return stage(ranged, "range_buckets")
