@@ -194,6 +194,34 @@ def test_random_runs_are_found_and_identifiers_are_not(spark):
     assert all(s == f"{secrets.RANDOM}:4:{4 + 44}" for s in spans)
 
 
+def test_random_values_after_a_name_and_in_urls_are_found(spark):
+    rng = random.Random(11)
+    letters = string.ascii_letters + string.digits
+    forms = [
+        ("AccountKey=", letters + "+/", 86, "==", ";"),
+        ("https://h.example/blob?sig=", letters, 40, "", "&v=1"),
+        ("private_key=", letters + "+/", 40, "", ""),
+        ("https://h.example/a-b/", letters + "-_", 40, "", ""),
+        ("x_y=user_files/c-d/", letters + "+/", 44, "", "/e_f"),
+    ]
+    planted = []
+    for i in range(100):
+        before, alphabet, n, padding, after = forms[i % 5]
+        planted.append((f"see {before}", random_token(rng, alphabet, n) + padding, f"{after} here"))
+    ordinary = [f"see {'-'.join(prose(i, 3).split())}={'_'.join(prose(i + 99, 5).split())}/v{i} here" for i in range(100)]
+    texts = ["".join(p) for p in planted] + ordinary
+    found = by_id(secrets.digests(documents(spark, texts)))
+    whole = Counter()
+    for i, (before, value, _) in enumerate(planted):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in found[i].spans.split(",") if s]
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        whole[i % 5] += any(a <= len(before) and len(before) + len(value) <= b for a, b in spans)
+        if i % 5 < 3:  # nothing but the value
+            assert spans in ([], [(len(before), len(before) + len(value))])
+    assert all(whole[k] >= 17 for k in range(5)), whole
+    assert sum(secrets.RANDOM in found[len(planted) + i].spans for i in range(100)) <= 2
+
+
 def test_masking(spark):
     texts = [*AWKWARD[:9], *SECRET_TEXTS]
     df = documents(spark, texts)

@@ -3,20 +3,23 @@
 Base kinds are fixed patterns (see KINDS). The offsets of all matches of a pattern follow from the text
 between them: split() gives the pieces, regexp_extract_all() the matches, and their lengths add up.
 
-The method looks at every run of CANDIDATE_MIN or more characters of the usual encodings that has a
-letter and a digit and does not overlap a base span. The smallest alphabet that holds all its
-characters is its inferred encoding. Three tests ask whether its n symbols are uniform and independent:
+The method looks at every longest piece of CANDIDATE_MIN or more characters of base64 or of base64url
+that has a letter and a digit and does not overlap a base span. An equals sign belongs to a piece only
+as padding, where nothing that could go on follows it: the value of name=value is a piece of its own.
+Where a text mixes the two alphabets, as paths do, the pieces of either are looked at; pieces that are
+called secret and overlap become one span. The smallest alphabet that holds all of a piece's characters
+is its inferred encoding. Three tests ask whether its n symbols are uniform and independent:
 
 * chi-squared uniformity over the alphabet, standardised with the exact mean and variance for n;
 * the number of runs below and above the middle of the alphabet;
 * the correlation of neighbouring symbols.
 
-The smallest p-value times three is the battery's p-value; below UNIFORM_LEVEL a run is no secret.
+The smallest p-value times three is the battery's p-value; below UNIFORM_LEVEL a piece is no secret.
 A fourth p-value is that of ordinary identifiers: how likely so few equal symbol pairs are among n
-symbols of which two are equal with the probability REPEATS of the encoding. Short runs cannot reach
-small values, so the runs are judged within classes of encoding and length: in each class, over all
+symbols of which two are equal with the probability REPEATS of the encoding. Short pieces cannot reach
+small values, so the pieces are judged within classes of encoding and length: in each class, over all
 rows, the Benjamini-Hochberg step-up rule keeps the expected share of ordinary identifiers among the
-runs that are called secret at FALSE_SHARE. Its cut-offs come from a histogram of p-values by class, a
+pieces that are called secret at FALSE_SHARE. Its cut-offs come from a histogram of p-values by class, a
 table whose size does not depend on the input.
 
 Defined results: null and empty texts have no spans; spans are in code points, the end exclusive;
@@ -41,7 +44,8 @@ ASSIGN_MIN = 12
 RANDOM = "random"
 
 CANDIDATE_MIN = 20
-CANDIDATE = f"[A-Za-z0-9+/_=-]{{{CANDIDATE_MIN},}}"
+_PADDING = "(?:=+(?![A-Za-z0-9+/_=-]))?"
+CANDIDATES = tuple(f"[A-Za-z0-9{more}]{{{CANDIDATE_MIN},}}{_PADDING}" for more in ("+/", "_-"))
 UNIFORM_LEVEL = 0.001
 FALSE_SHARE = 0.01
 # Inferred encodings, the smallest first: pattern, alphabet, probability that two symbols of an
@@ -236,6 +240,22 @@ def cut_offs(measured: DataFrame) -> dict[int, int]:
     return out
 
 
+def united(found: Column) -> Column:
+    """Spans of one kind, by start, those that overlap as one."""
+
+    def add(acc: Column, s: Column) -> Column:
+        last = F.element_at(acc, -1)
+        longer = F.struct(
+            last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end")
+        )
+        joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(longer))
+        return F.when(F.size(acc) == 0, F.array(s)).when(s["start"] < last["end"], joined).otherwise(
+            F.concat(acc, F.array(s))
+        )
+
+    return F.aggregate(F.sort_array(found), F.array().cast(SPAN_ARRAY), add)
+
+
 def scan_secrets(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Adds spans, an array of (start, kind, end), to the kept columns of docs(text)."""
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != "spans"]
@@ -248,7 +268,7 @@ def scan_secrets(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
     read = docs.select(*kept, text.alias("_text"), base.alias("_base"))
     runs = F.filter(
-        spans(F.col("_text"), CANDIDATE, len(KINDS)),
+        F.array_union(*(spans(F.col("_text"), pattern, len(KINDS)) for pattern in CANDIDATES)),
         lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
     tokens = F.transform(
@@ -273,7 +293,7 @@ def scan_secrets(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             r["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), r["end"].alias("end")
         ),
     )
-    return measured.select(*kept, F.sort_array(F.concat("_base", random)).alias("spans"))
+    return measured.select(*kept, F.sort_array(F.concat("_base", united(random))).alias("spans"))
 
 
 def listed(found: Column) -> Column:
