@@ -135,6 +135,40 @@ def test_notices_are_found_within_the_error_bound_and_reported_as_spans(spark, n
     assert checked >= 4
 
 
+def fewest_edits(text, notice, bound):
+    """(edits, start, end) of all stretches of whole words within the bound, by dynamic programming."""
+    found = []
+    for start in [i + 1 for i in range(len(text) - 1) if text[i] == " "]:
+        costs = list(range(len(notice) + 1))
+        for end in range(start, min(len(text) - 1, start + len(notice) + bound)):
+            row = [costs[0] + 1]
+            for q, c in enumerate(notice, 1):
+                row.append(min(costs[q] + 1, row[-1] + 1, costs[q - 1] + (text[end] != c)))
+            costs = row
+            if costs[-1] <= bound and text[end + 1] == " ":
+                found.append((costs[-1], start, end + 1))
+    return found
+
+
+def test_edits_at_both_ends_and_unequal_copies_are_found():
+    scanner, rng = licenses.Scanner(), random.Random(4)
+    apache = "licensed under the apache license version 2 0"
+    cases = [(f"terms sub{apache} x", 3), (f"x{apache}y", 2), (f"{apache.replace('version', 'verzyon')} {apache}", 0)]
+    cases += [(f"see {n}s now", 1) for n, label in licenses.NOTICES.items() if label in ("epl", "cc-by", "lgpl")]
+    for text, edits in cases:
+        assert min(e for *_, e in scanner.matches(f" {text} ")) == edits, text
+    assert [e for *_, e in scanner.matches(f" {cases[2][0]} ")] == [2, 0]
+    for seed in range(40):
+        k = rng.randrange(len(scanner.notices))
+        notice, _, bound = scanner.notices[k]
+        copies = [garbled(f" {notice} ", rng.randint(0, bound + 1), seed * 9 + j) + prose(seed, j) for j in range(3)]
+        text = f" {' '.join(' '.join(copies).split())} "
+        got, wanted = [m for m in scanner.matches(text) if m[0] == k], fewest_edits(text, notice, bound)
+        assert min((m[3] for m in got), default=None) == min((w[0] for w in wanted), default=None)
+        assert all(any(a < end and start < b for _, a, b, _ in got) for _, start, end in wanted)
+        assert all(a[2] <= b[1] for a, b in zip(got, got[1:]))
+
+
 def test_clean_prose_has_no_license(spark):
     found = by_id(licenses.scan_licenses(documents(spark, [prose(i, 500) for i in range(20)])))
     assert all(r.labels == "" for r in found.values())

@@ -5,7 +5,8 @@ breaks play no part. A notice of L characters may be met with up to L * ERROR_SH
 pigeonhole principle one of edits + 1 pieces of the notice then occurs unchanged: all pieces of all
 notices are the seeds of one Aho-Corasick automaton, which is run over the whole text. Around every
 seed the regex library looks for the best match with a bounded number of insertions, deletions and
-substitutions. A match must start and end at word edges. Overlapping matches of a label are one.
+substitutions. A match must start and end at word edges, which are part of the pattern. Of matches of a
+notice that overlap the one with the fewest edits counts; the text before and after it is searched on.
 
 Base phrases are places where a phrase's words stand consecutively; they always give their label.
 
@@ -82,7 +83,9 @@ class Scanner:
     def __init__(self, notices: dict[str, str] = NOTICES, share: float = ERROR_SHARE):
         self.notices = [(text, label, int(len(text) * share)) for text, label in notices.items()]
         self.patterns = [
-            regex.compile(rf"(?b)(?:{regex.escape(text, literal_spaces=True)}){{e<={edits}}}")
+            regex.compile(
+                rf"(?b) (?:{regex.escape(text, literal_spaces=True)}){{e<={edits}}}(?= )"
+            )
             for text, _, edits in self.notices
         ]
         seeds: dict[str, list[tuple[int, int]]] = {}
@@ -95,39 +98,48 @@ class Scanner:
         self.machine.make_automaton()
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(notice, start, end, edits) in a folded text, by notice and start; no two overlap."""
-        near: dict[int, list[list[int]]] = {}
+        """(notice, start, end, edits) in a folded text, by notice and start; no two of a notice overlap."""
+        near: dict[int, list[tuple[int, int]]] = {}
         for end, (length, uses) in self.machine.iter(text):
             for k, offset in uses:
                 notice, _, edits = self.notices[k]
                 low = end + 1 - length - offset - edits
-                high = low + len(notice) + 2 * edits
-                regions = near.setdefault(k, [])
-                if regions and low <= regions[-1][1]:
-                    regions[-1][0] = min(regions[-1][0], low)
-                    regions[-1][1] = max(regions[-1][1], high)
-                else:
-                    regions.append([low, high])
+                near.setdefault(k, []).append((max(0, low), low + len(notice) + 2 * edits))
         found = []
         for k, regions in near.items():
-            for low, high in regions:
-                found += self._verify(k, text, max(0, low), high)
-        return found
+            at, to = -1, -1
+            for low, high in sorted(regions):
+                if low <= to:
+                    to = max(to, high)
+                    continue
+                found += self._verify(k, text, at, to)
+                at, to = low, high
+            found += self._verify(k, text, at, to)
+        return sorted(found)
 
     def _verify(self, k: int, text: str, low: int, high: int):
+        """Matches in text[low:high] with the blanks around: the best ones, and those beside them."""
         notice, _, edits = self.notices[k]
-        reach = len(notice) + 2 * edits
-        while low < min(high, len(text)):
-            # A window of twice the reach holds every match that starts in its first half.
-            m = self.patterns[k].search(text, low, min(high, low + 2 * reach))
-            if m is None:
-                low += reach
-                continue
-            if text[m.start() - 1 : m.start()].strip() == "" and text[m.end() : m.end() + 1].strip() == "":
-                yield k, m.start(), m.end(), sum(m.fuzzy_counts)
-                low = m.end()
-            else:
-                low = m.start() + 1
+        reach = len(notice) + edits
+        # The blank before is part of the pattern: regex does not insert where a search begins.
+        todo = [(max(0, low - 1), min(high + 1, len(text)))]
+        while todo:
+            low, high = todo.pop()
+            window = 2 * reach + 2
+            while high - low >= len(notice) - edits + 2:
+                end = min(high, low + window)
+                m = self.patterns[k].search(text[low:end])
+                if m is None:
+                    if end == high:
+                        break
+                    # No match starts before this place: it would have ended in the window.
+                    low, window = end - reach - 1, 2 * reach + 2
+                elif end < high and low + m.end() + reach + 1 > end:
+                    window += reach  # one that overlaps it may reach out of the window and be better
+                else:
+                    yield k, low + m.start() + 1, low + m.end(), sum(m.fuzzy_counts)
+                    todo += [(low + m.end(), high), (low, low + m.start() + 1)]
+                    break
 
 
 def phrase_places(text: str, phrase: str) -> list[int]:
