@@ -52,6 +52,31 @@ def test_what_all_pages_of_a_host_share_is_removed(spark, monkeypatch, bound):
     assert found[999].startswith("Welcome")
 
 
+def test_template_branches_inside_of_main_are_removed(spark):
+    pages = []
+    for i in range(12):
+        body = f"<article><h1>{prose(i, 4)}</h1><p>{prose(i + 50, 30)}</p></article>" if i % 2 else f"<p>{prose(i, 30)}</p>"
+        page = f"<main><header>Our site</header><div class=top>Welcome</div>{body}<div class=end>All rights</div></main>"
+        pages.append((i, f"http://h.example/{i}", f"<html><body>{page}</body></html>"))
+    pages.append((99, "http://single.example", pages[1][2]))
+    found = texts_of(spark, pages)
+    for i in range(12):
+        assert found[i] == (f"{prose(i, 4)}\n\n{prose(i + 50, 30)}" if i % 2 else prose(i, 30))
+    assert found[99].startswith("Our site\n\nWelcome")
+
+
+def test_teaser_articles_do_not_replace_the_body(spark):
+    pages = []
+    for i in range(12):
+        teasers = f"<article class=t><p>{prose(i + 70, 4)}</p></article><article class=s><p>Read all of it</p></article>"
+        pages.append((i, f"http://h.example/{i}", f"<div class=top>Welcome</div><div class=text><p>{prose(i, 60)}</p></div>{teasers}"))
+        pages.append((50 + i, f"http://g.example/{i}", f"<div>{prose(i, 9)}</div><article><p>{prose(i + 30, 60)}</p></article>"))
+    found = texts_of(spark, pages)
+    for i in range(12):
+        assert found[i] == f"{prose(i, 60)}\n\n{prose(i + 70, 4)}"
+        assert found[50 + i] == prose(i + 30, 60)
+
+
 def test_synthetic_pages_keep_exactly_the_article(spark):
     import re
     from html import unescape

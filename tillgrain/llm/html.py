@@ -9,9 +9,10 @@ Pages of a host with the same text count as one page, so that copies do not look
 Branches with an importance below LOW are removed from every page of the host.
 
 What markup says about itself is the prior of presentation: elements that are menus, headers, footers,
-sidebars, notices, adverts, forms, comments or not displayed at all have importance 0, article and main
-have importance 1. Where a page has an article or main region with text, that region is the article;
-elsewhere the style tree decides.
+sidebars, notices, adverts, forms, comments or not displayed at all have importance 0. The style tree
+decides on all the rest, inside of article and main regions too. Of what it leaves, the regions of a
+page are the article where they hold at least DOMINANT of the characters; where they hold less, as
+teasers do, nothing more is left out.
 
 Text is joined by block. White space inside a block becomes one space; br is white space. Character
 references are decoded. Unclosed and stray tags are read as browsers do for the usual cases: a block
@@ -40,6 +41,7 @@ from tillgrain.session import stage
 
 MIN_PAGES = 3
 LOW = 0.2
+DOMINANT = 0.5
 BROADCAST_HOSTS = 20_000
 SALTS = 16
 
@@ -195,10 +197,13 @@ class Page:
                 return
 
     def main_text(self, low: frozenset[int] = frozenset()) -> str:
-        """Text of the regions, or else of what is below no branch of low importance."""
-        if any(inside for _, _, inside in self.blocks):
-            return "\n\n".join([text for text, _, inside in self.blocks if inside])
-        return "\n\n".join([text for text, paths, _ in self.blocks if low.isdisjoint(paths)])
+        """Text below no branch of low importance; that of the regions alone where they dominate."""
+        left = [(text, inside) for text, paths, inside in self.blocks if low.isdisjoint(paths)]
+        regions = [text for text, inside in left if inside]
+        size = sum(map(len, regions))
+        if size and size >= DOMINANT * sum(len(text) for text, _ in left):
+            return "\n\n".join(regions)
+        return "\n\n".join([text for text, _ in left])
 
     def nodes(self):
         """(path, presentation, content) of the nodes on this page, as hashes."""
