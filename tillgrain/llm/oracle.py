@@ -82,4 +82,45 @@ OP4 = f"""
     FROM failed {" ".join(f"LEFT JOIN c{n} USING (r)" for n in LIMITS)}
 """
 
-ORACLE = {"op4_quality": OP4, "op5_decontaminate": OP5}
+# The patterns of llm.urls as two regular expressions over host and rest.
+_BLOCKED = "|".join(
+    (
+        r"^([^/?#]*\.)?(ads?|adserver|track|pixel|doubleclick)\.",
+        r"/(wp-login\.php|wp-admin/|xmlrpc\.php|cgi-bin/|search\?|casino/|porn/)",
+        r"/(cart|checkout|basket|login|signin|logout|register)([^0-9A-Za-z_.%-]|$)",
+        r"[^0-9A-Za-z_.%-](page|replytocom|sessionid|phpsessid)=",
+        r"\.(jpg|png|gif|zip|exe|css|js)$",
+    )
+)
+_ALLOWED = "|".join(
+    (
+        r"^([^/?#]*\.)?docs\.",
+        r"/wiki/|/help/login([^0-9A-Za-z_.%-]|$)",
+        r"[^0-9A-Za-z_.%-]page=1(&|$)",
+    )
+)
+OP13 = f"""
+    WITH cut AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3)
+                                      ELSE '' END AS after FROM pages),
+         split AS (SELECT page_id, regexp_extract(after, '^[^/?#]*') AS authority, after FROM cut),
+         named AS (
+            SELECT page_id, {_LOWER.format("authority")} AS host, substr(after, length(authority) + 1) AS rest
+            FROM split),
+         judged AS (
+            SELECT *, regexp_extract(rest, '^[^?#]*') AS path, '.' || host AS labels FROM named),
+         ruled AS (
+            SELECT *, CASE
+                WHEN labels LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+                WHEN labels LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+                WHEN labels LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+                WHEN labels LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM judged)
+    SELECT page_id, host, path, rule, CASE
+        WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+        WHEN rule IS NOT NULL THEN 'block'
+        WHEN regexp_matches(host || rest, '{_ALLOWED}', 's') THEN 'allow'
+        WHEN regexp_matches(host || rest, '{_BLOCKED}', 's') THEN 'block'
+        ELSE 'allow' END AS verdict
+    FROM ruled
+"""
+
+ORACLE = {"op4_quality": OP4, "op5_decontaminate": OP5, "op13_urls": OP13}
