@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_every_operator_and_the_pipeline_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == [*range(1, 11), 13]
+    assert numbers == [*range(1, 12), 13]
     registered = contract.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered) and registered["pipeline"] is corpus_pipeline.run
     assert set(ORACLE) <= set(contract.oracle_sql()) and "pipeline" not in contract.oracle_sql()
@@ -25,7 +25,7 @@ def test_query_equals_its_sql(spark, name):
     assert difference(QUERIES[name](spark, SF_DIR), connect(SF_DIR), ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op11_phrases"}))
 def test_one_row_for_every_row_of_the_table(spark, name):
     table = "pages" if name in ("op6_html", "op13_urls") else "documents"
     found = QUERIES[name](spark, SF_DIR)

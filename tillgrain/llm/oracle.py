@@ -1,6 +1,7 @@
 """SQL of the queries whose result SQL can state, for DuckDB."""
 
 from tillgrain.llm.decontaminate import WIDTH
+from tillgrain.llm.phrases import COVERED_PERCENT, MIN_COUNT, TOP
 from tillgrain.llm.quality import BASE_N, LIMITS, LINE_LIMIT, MIN_WORDS
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -82,6 +83,43 @@ OP4 = f"""
     FROM failed {" ".join(f"LEFT JOIN c{n} USING (r)" for n in LIMITS)}
 """
 
+OP11 = rf"""
+    WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+         words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+         grams AS (
+            SELECT lang, k, array_to_string(w[p : p + k - 1], ' ') AS phrase
+            FROM words, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(p)),
+         counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+         totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+         candidates AS (
+            SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w
+            FROM counts WHERE k > 1 AND f >= {MIN_COUNT}),
+         cuts AS (
+            SELECT lang, phrase, k, a, c, array_to_string(w[1 : c], ' ') AS head,
+                   array_to_string(w[c + 1 : k], ' ') AS tail
+            FROM candidates, unnest(range(1, k)) AS t(c)),
+         cut_scores AS (
+            SELECT cuts.*, x.f AS l, y.f AS r,
+                   ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.phrase = head
+                      JOIN counts y ON y.lang = cuts.lang AND y.phrase = tail),
+         lowest AS (
+            SELECT * FROM cut_scores
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+         covered AS (
+            SELECT DISTINCT x.lang, x.phrase
+            FROM (SELECT lang, a, array_to_string(w[p : p + s - 1], ' ') AS phrase
+                  FROM candidates, unnest(range(2, k)) AS u(s), unnest(range(1, k - s + 2)) AS t(p)) longer
+            JOIN candidates x USING (lang, phrase) WHERE 100 * longer.a >= {COVERED_PERCENT} * x.a),
+         ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM lowest ANTI JOIN covered USING (lang, phrase))
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {TOP}
+"""
+
 # The patterns of llm.urls as two regular expressions over host and rest.
 _BLOCKED = "|".join(
     (
@@ -123,4 +161,4 @@ OP13 = f"""
     FROM ruled
 """
 
-ORACLE = {"op4_quality": OP4, "op5_decontaminate": OP5, "op13_urls": OP13}
+ORACLE = {"op4_quality": OP4, "op5_decontaminate": OP5, "op11_phrases": OP11, "op13_urls": OP13}

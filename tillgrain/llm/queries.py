@@ -6,7 +6,7 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrain.llm import bpe, decontaminate, html, langid, licenses, lm, quality, secrets, sharding, simhash, urls
+from tillgrain.llm import bpe, decontaminate, html, langid, licenses, lm, phrases, quality, secrets, sharding, simhash, urls
 from tillgrain.llm.common import by_crc, table
 from tillgrain.llm.oracle import ORACLE  # noqa: F401
 
@@ -73,6 +73,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(documents(spark, sf_dir))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digests(table(spark, sf_dir, "documents", "text", "lang"))
+
+
 def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"), keep=["page_id"])
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
+    "op11_phrases": op11_phrases,
     "op13_urls": op13_urls,
 }
 
