@@ -6,18 +6,20 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrain.llm import bpe, decontaminate, html, langid, licenses, lm, phrases, quality, secrets, sharding, simhash, urls
+from tillgrain.llm import alignment, bpe, decontaminate, html, langid, licenses, lm, phrases, quality, secrets, sharding, simhash, urls
 from tillgrain.llm.common import by_crc, table
 from tillgrain.llm.oracle import ORACLE  # noqa: F401
 
 
-def tokenizer_path(spark: SparkSession) -> str:
-    """The tokenizer file: the session's tillgrain.tokenizer, or the installed vocabulary."""
-    named = spark.conf.get("tillgrain.tokenizer", None)
+def tokenizer_path(
+    spark: SparkSession, setting: str = "tillgrain.tokenizer", usual: str = "word_bpe_49k.json"
+) -> str:
+    """The tokenizer file: the one that the session's setting names, or an installed vocabulary."""
+    named = spark.conf.get(setting, None)
     if named:
         return named
     folder = os.path.dirname(find_spec("public_tokenizers").origin)
-    return os.path.join(folder, "word_bpe_49k.json")
+    return os.path.join(folder, usual)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +79,12 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.digests(table(spark, sf_dir, "documents", "text", "lang"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = tokenizer_path(spark, "tillgrain.tokenizer_a", "byte_bpe_50k.json")
+    b = tokenizer_path(spark, "tillgrain.tokenizer_b", "piece_bpe_32k.model")
+    return alignment.digests(documents(spark, sf_dir), a, b, keep=["doc_id"])
+
+
 def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"), keep=["page_id"])
 
@@ -93,6 +101,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
     "op11_phrases": op11_phrases,
+    "op12_alignment": op12_alignment,
     "op13_urls": op13_urls,
 }
 
