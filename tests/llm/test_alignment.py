@@ -151,8 +151,15 @@ def test_small_bounds_change_nothing(spark, expected, monkeypatch):
     import pyarrow as pa
 
     memory = alignment.Memory(alignment.aligner_of(A_PATH, B_PATH))
-    sums = [memory.sums[d].sum(axis=0).tolist()[:4] for c in memory.chunks(pa.array(TEXTS)) for d in c]
-    assert [tuple(s) for s in sums] == [e[:4] for e in expected[0]]
+    sums, counts = [], Counter()
+    for chunk in memory.chunks(pa.array(TEXTS)):
+        sums += [tuple(memory.sums[d].sum(axis=0).tolist()[:4]) for d in chunk]
+        for marks in (10**7, 0):
+            monkeypatch.setattr(alignment, "MARKS", marks)
+            pairs, n = alignment.pairs_of_documents(memory, chunk)
+            counts.update(dict(zip(((p >> 32, p & 0xFFFFFFFF) for p in pairs.tolist()), n.tolist())))
+    assert sums == [e[:4] for e in expected[0]]
+    assert counts == {pair: 2 * n for pair, n in expected[1].items()}
 
 
 def test_pair_counts_are_numbers_of_documents(spark, expected):

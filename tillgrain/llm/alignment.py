@@ -48,15 +48,16 @@ BUCKETS = 64
 SECTION_PAIRS = 4_000_000
 FAN_IN = 32
 HELD_PAIRS = 2_000_000  # a task hands on its counts when it has so many pairs
-REMEMBERED = 200_000  # units that a task keeps aligned; beyond it starts anew, results are the same
+REMEMBERED = 500_000  # units that a task keeps aligned; beyond it starts anew, results are the same
 CHUNK_CHARS = 2_000_000  # texts are taken together up to about so many characters
 JOINED_CHARS = 200_000  # units are encoded together up to so many
+MARKS = 32_000_000  # most marks of documents by pairs; beyond it the pairs of documents are sorted
 
 # The split of byte-level BPE tokenizers into pre-tokens.
 USUAL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MARK = "▁"  # stands for a blank in the pieces of B
 UNIT_BORDER = re.compile(rf"(?<=[^\s{MARK}])(?= )")
-OPEN_END = re.compile(rf"[\s{MARK}]\Z")
+NO_BORDER = re.compile(rf"[\s{MARK}] ")
 PAIR_BITS = 32  # a pair is A id << PAIR_BITS | B id
 
 COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -119,10 +120,10 @@ def lengths_of(tokenizer) -> np.ndarray:
 
 @dataclass
 class Aligned:
-    """What some units hold: sums a unit (n_a, n_b, n_groups, n_links), links, groups as text."""
+    """What some units hold: sums a unit (n_a, n_b, n_groups, n_links), all links, groups as text."""
 
     sums: np.ndarray
-    links: list[np.ndarray]
+    links: np.ndarray
     groups: list[str]
 
 
@@ -136,7 +137,11 @@ class Aligner:
         self.b_texts = [np.array([f"{i}{end}" for i in range(len(self.b_lengths))], object) for end in ",;"]
 
     def units(self, text: str) -> list[str]:
-        return UNIT_BORDER.split(" " + text) if self.divisible else [" " + text]
+        if not self.divisible:
+            return [" " + text]
+        if text[0] == " " or NO_BORDER.search(text):
+            return UNIT_BORDER.split(" " + text)
+        return [" " + word for word in text.split(" ")]
 
     def tokens(self, unit: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids by A and by B, None where they do not give the unit back."""
@@ -145,55 +150,58 @@ class Aligner:
             return None
         return np.array(a, np.int64), np.array(b, np.int64)
 
-    def align(self, units: list[str]) -> list[Aligned | None]:
+    def align(self, units: list[str], with_groups: bool) -> list[Aligned | None]:
         """Parts of units, in their order; None stands for a unit that is not given back."""
         out, joined, size = [], [], 0
         for unit in units:
             # Behind an open end the next unit might be encoded otherwise.
-            alone = OPEN_END.search(unit) is not None or not self.divisible
+            alone = unit[-1].isspace() or unit[-1] == MARK or not self.divisible
             if joined and (alone or size > JOINED_CHARS):
-                out += self._joined(joined)
+                out += self._joined(joined, with_groups)
                 joined, size = [], 0
             if alone:
-                out += self._joined([unit])
+                out += self._joined([unit], with_groups)
             else:
                 joined.append(unit)
                 size += len(unit)
-        return out + (self._joined(joined) if joined else [])
+        return out + (self._joined(joined, with_groups) if joined else [])
 
-    def _joined(self, units: list[str]) -> list[Aligned | None]:
+    def _joined(self, units: list[str], with_groups: bool) -> list[Aligned | None]:
         found = self.tokens("".join(units))
         if found is not None:
-            return [self._aligned(units, *found)]
+            return [self._aligned(units, *found, with_groups)]
         if len(units) == 1:
             return [None]
         half = len(units) // 2
-        return self._joined(units[:half]) + self._joined(units[half:])
+        return self._joined(units[:half], with_groups) + self._joined(units[half:], with_groups)
 
-    def _aligned(self, units: list[str], a: np.ndarray, b: np.ndarray) -> Aligned:
+    def _aligned(self, units: list[str], a: np.ndarray, b: np.ndarray, with_groups: bool) -> Aligned:
         a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
         unit_ends = np.cumsum([len(u.encode()) for u in units])
-        group_ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        if not np.isin(unit_ends, group_ends).all():
-            raise ValueError("a token crosses the border of a unit")
         # Bytes that are cut by no end of a token belong to one token of A and one of B: a link.
-        link_ends = np.union1d(a_ends, b_ends)
+        ends = np.sort(np.concatenate([a_ends, b_ends]))
+        is_common = ends[1:] == ends[:-1]
+        group_ends, link_ends = ends[1:][is_common], ends[np.append(~is_common, True)]
+        if not (group_ends[np.searchsorted(group_ends, unit_ends)] == unit_ends).all():
+            raise ValueError("a token crosses the border of a unit")
         links = a[np.searchsorted(a_ends, link_ends)] << PAIR_BITS | b[np.searchsorted(b_ends, link_ends)]
         cuts = np.array([np.searchsorted(e, unit_ends, "right") for e in (a_ends, b_ends, group_ends, link_ends)])
         sums = np.diff(cuts, prepend=0, axis=1).T
+        if not with_groups:
+            return Aligned(sums, links, [])
         # Place of each id in the text of all groups: behind all groups before its own, A before B.
         a_upto = np.searchsorted(a_ends, group_ends, "right")
         b_upto = np.concatenate([[0], np.searchsorted(b_ends, group_ends, "right")])
         texts = np.empty(len(a) + len(b), object)
         group_of_a, group_of_b = np.searchsorted(group_ends, a_ends), np.searchsorted(group_ends, b_ends)
-        a_last, b_last = np.isin(a_ends, group_ends), np.isin(b_ends, group_ends)
+        a_last, b_last = group_ends[group_of_a] == a_ends, group_ends[group_of_b] == b_ends
         a_place = np.arange(len(a)) + b_upto[group_of_a]
         b_place = np.arange(len(b)) + a_upto[group_of_b]
         for place, ids, last, made in ((a_place, a, a_last, self.a_texts), (b_place, b, b_last, self.b_texts)):
             texts[place] = np.where(last, made[1][ids], made[0][ids])
         borders = np.concatenate([[0], cuts[0] + cuts[1]])
         groups = ["".join(texts[s:e])[:-1] for s, e in zip(borders, borders[1:])]
-        return Aligned(sums, np.split(links, cuts[3][:-1]), groups)
+        return Aligned(sums, links, groups)
 
 
 @functools.lru_cache(maxsize=2)
@@ -203,36 +211,72 @@ def aligner_of(a_path: str, b_path: str) -> Aligner:
 
 
 class Memory:
-    """Units of a task by number. A unit that is not given back has the number BAD."""
+    """Units of a task by number, and the pairs of their links by number.
+
+    A unit that is not given back has the number BAD. Groups are kept as text where they are wanted,
+    and sums of looked-up counts where there is a table.
+    """
 
     BAD = -1
 
-    def __init__(self, aligner: Aligner, table: "PairTable | None" = None):
-        self.aligner, self.table = aligner, table
+    def __init__(self, aligner: Aligner, table: "PairTable | None" = None, with_groups: bool = True):
+        self.aligner, self.table, self.with_groups = aligner, table, with_groups
+        self.pairs = np.empty(0, np.int64)  # by number
+        self.order, self.ordered = np.empty(0, np.int64), self.pairs  # numbers in the order of the pairs
+        self.looked_up = np.empty((0, 2), np.int64)  # by number of the pair
         self.clear()
 
     def clear(self) -> None:
         self.numbers: dict[str, int] = {}
         self.groups: list[str] = []
-        self.links: list[np.ndarray] = []
+        self.links = np.empty(0, np.int32)  # numbers of pairs, unit by unit
+        self.ends = np.zeros(1, np.int64)  # where the links of a unit begin, and end for the next
         self.sums = np.empty((0, len(COUNTS)), np.int64)
 
     def learn(self, units: set[str]) -> None:
-        new = list(units.difference(self.numbers))
-        at, rows = 0, [self.sums]
-        for part in self.aligner.align(new):
+        new, at, sums, links = list(units.difference(self.numbers)), 0, [], []
+        known = len(self.sums)
+        for part in self.aligner.align(new, self.with_groups):
             if part is None:
                 self.numbers[new[at]] = self.BAD
                 at += 1
                 continue
-            n = len(part.groups)
-            self.numbers.update(zip(new[at : at + n], range(len(self.groups), len(self.groups) + n)))
-            looked_up = np.zeros((n, 2), np.int64) if self.table is None else self.table.sums(part.links)
-            rows.append(np.hstack([part.sums, looked_up]))
+            n = len(part.sums)
+            self.numbers.update(zip(new[at : at + n], range(known, known + n)))
+            sums.append(part.sums)
+            links.append(part.links)
             self.groups += part.groups
-            self.links += part.links
-            at += n
-        self.sums = np.concatenate(rows)
+            at, known = at + n, known + n
+        if not sums:
+            return
+        sums, links = np.concatenate(sums), self.numbers_of(np.concatenate(links))
+        ends = np.cumsum(sums[:, 3])
+        found = np.zeros((len(sums), 2), np.int64)
+        if self.table is not None:
+            upto = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(self.looked_up[links], axis=0)])
+            found = np.diff(upto[ends], prepend=np.zeros((1, 2), np.int64), axis=0)
+        self.sums = np.concatenate([self.sums, np.hstack([sums, found])])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+        self.links = np.concatenate([self.links, links])
+
+    def numbers_of(self, links: np.ndarray) -> np.ndarray:
+        """The numbers of the pairs of links; new pairs get the next ones and are looked up."""
+        ordered = np.unique(links)
+        at = np.searchsorted(self.ordered, ordered)
+        new = ordered[self.ordered[np.minimum(at, len(self.ordered) - 1)] != ordered] if len(self.ordered) else ordered
+        if len(new):
+            self.pairs = np.concatenate([self.pairs, new])
+            self.order = np.argsort(self.pairs)
+            self.ordered = self.pairs[self.order]
+            if self.table is not None:
+                self.looked_up = np.concatenate([self.looked_up, self.table.look_up(new)])
+        return self.order[np.searchsorted(self.ordered, links)].astype(np.int32)
+
+    def links_of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pairs of all links of the units, and how many each unit has."""
+        starts, sizes = self.ends[units], self.ends[units + 1] - self.ends[units]
+        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return self.links[np.repeat(starts, sizes) + within], sizes
 
     def chunks(self, texts: pa.Array) -> Iterator[list[np.ndarray]]:
         """Numbers of the units of each text, texts of a bounded size together."""
@@ -243,7 +287,8 @@ class Memory:
             if size > CHUNK_CHARS:
                 yield self._numbers(chunk)
                 chunk, size = [], 0
-        yield self._numbers(chunk)
+        if chunk:
+            yield self._numbers(chunk)
 
     def _numbers(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.numbers) > REMEMBERED:
@@ -280,19 +325,18 @@ def added(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 def pairs_of_documents(memory: Memory, documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs linked in some of the documents, and in how many."""
-    if not any(map(len, documents)):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+    n_pairs = len(memory.pairs)
+    links, sizes = memory.links_of(np.concatenate(documents).astype(np.int64))
     owner = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
-    held = np.unique(owner << 32 | np.concatenate(documents))
-    own = [memory.links[u] for u in (held & 0xFFFFFFFF).tolist()]
-    links = np.concatenate(own)
-    owner = np.repeat(held >> 32, [len(x) for x in own])
-    # Document and pair in one number, to sort them together.
-    a_bits, b_bits = (len(x).bit_length() for x in (memory.aligner.a_lengths, memory.aligner.b_lengths))
-    narrow = owner << (a_bits + b_bits) | (links >> PAIR_BITS) << b_bits | links & ((1 << b_bits) - 1)
-    narrow = np.unique(narrow) & ((1 << (a_bits + b_bits)) - 1)
-    pairs, counts = np.unique(narrow, return_counts=True)
-    return (pairs >> b_bits) << PAIR_BITS | pairs & ((1 << b_bits) - 1), counts
+    places = np.repeat(owner * n_pairs, sizes) + links
+    if len(documents) * n_pairs <= MARKS:
+        marks = np.zeros(len(documents) * n_pairs, bool)
+        marks[places] = True
+        total = marks.reshape(len(documents), n_pairs).sum(axis=0)
+    else:
+        total = np.bincount(np.unique(places) % n_pairs, minlength=n_pairs)
+    held = np.flatnonzero(total)
+    return memory.pairs[held], total[held]
 
 
 PARTIALS = "bucket int, part long, pairs binary, counts binary"
@@ -305,7 +349,7 @@ def first_pass(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        memory = Memory(aligner_of(a_path, b_path))
+        memory = Memory(aligner_of(a_path, b_path), with_groups=False)
         pairs, counts, held = [], [], 0
         for batch in batches:
             for documents in memory.chunks(batch.column("text")):
@@ -460,20 +504,17 @@ class PairTable:
             best = np.frombuffer(rows.column("best")[i].as_py(), np.uint8)
             self.buckets[bucket] = (*hash_of(rows, i), arrays(rows, "counts")[i], best)
 
-    def sums(self, links: list[np.ndarray]) -> np.ndarray:
-        """(links with the highest count, counts added up) of each list of links."""
-        flat = np.concatenate(links) if links else np.empty(0, np.int64)
-        bucket, found = bucket_of(flat), np.zeros((len(flat), 2), np.int64)
+    def look_up(self, pairs: np.ndarray) -> np.ndarray:
+        """(1 if its count is the highest of its A id, count) of each pair."""
+        bucket, found = bucket_of(pairs), np.zeros((len(pairs), 2), np.int64)
         for b in np.unique(bucket).tolist():
             if b in self.buckets:
                 perfect, keys, counts, best = self.buckets[b]
                 here = np.flatnonzero(bucket == b)
-                numbers = verified(perfect, keys, flat[here])
+                numbers = verified(perfect, keys, pairs[here])
                 here, numbers = here[numbers >= 0], numbers[numbers >= 0]
                 found[here, 0], found[here, 1] = best[numbers], counts[numbers]
-        upto = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(found, axis=0)])
-        ends = np.cumsum([len(x) for x in links])
-        return np.diff(upto[ends], prepend=np.zeros((1, 2), np.int64), axis=0)
+        return found
 
 
 def sections(table: DataFrame, most: int) -> list[list[int]]:
