@@ -100,7 +100,7 @@ def test_full_run_then_second_model_and_baseline(spark, drop, tmp_path):
     assert record["model_gate_passed"] is True and record["failed_step"] is None
     assert record["pipeline_duration_seconds"] > 0
     model, version = flow.load_production(spark, tables)
-    assert version == 1 and len(model.stages) == 5
+    assert version == 1 and len(model.pipeline.stages) == 3
 
     flow.register_baseline(spark, tables)
     runs = flow.model_runs(spark, tables)
@@ -229,3 +229,115 @@ def test_what_is_staged_within_a_scope_is_deleted(spark):
         spark.range(3).write.parquet(path)
         assert os.path.exists(path)
     assert not os.path.exists(path) and kept.count() == 3
+
+
+def done_by(monkeypatch):
+    """Which steps of the flow are done, in order."""
+    done = []
+    for step in ("write_silver", "write_gold", "train"):
+        real = getattr(flow, step)
+        monkeypatch.setattr(flow, step, lambda *a, _s=step, _r=real, **k: done.append(_s) or _r(*a, **k))
+    return done
+
+
+def test_a_run_that_failed_goes_on_where_it_stopped(spark, drop, tmp_path, monkeypatch):
+    raw, customers = drop(600)
+    tables = flow.Lake(str(tmp_path / "lake"))
+    done = done_by(monkeypatch)
+    with pytest.raises(flow.GateFailed):
+        flow.run(spark, raw, customers, tables, min_auc=1.01)
+    assert done == ["write_silver", "write_gold", "train"]
+    flow.run(spark, raw, customers, tables, min_auc=0.0)
+    assert done == ["write_silver", "write_gold", "train"]
+    assert lake.read_table(spark, tables.bronze).count() == 600
+    assert flow.model_runs(spark, tables).count() == 1
+    assert [r["failed_step"] for r in records(spark, tables)] == ["model_gate", None]
+    # The run is complete: another one starts from the beginning, and a plain append stores a replay.
+    flow.run(spark, raw, customers, tables, min_auc=0.0)
+    assert done[3:] == ["write_silver", "write_gold", "train"]
+    assert lake.read_table(spark, tables.bronze).count() == 1200
+
+
+def test_a_step_is_repeated_if_what_it_reads_has_changed(spark, drop, tmp_path, monkeypatch):
+    from tillgrain.operators import bronze
+
+    raw, customers = drop(600)
+    tables = flow.Lake(str(tmp_path / "lake"))
+    done = done_by(monkeypatch)
+    train = flow.train
+    monkeypatch.setattr(flow, "train", lambda *a, **k: (_ for _ in ()).throw(MemoryError("lost")))
+    with pytest.raises(MemoryError):
+        flow.run(spark, raw, customers, tables, min_auc=0.0)
+    assert done == ["write_silver", "write_gold"]
+    monkeypatch.setattr(flow, "train", train)
+    other = tmp_path / "other"
+    other.mkdir()
+    lines = [",".join(schemas.RAW_TRANSACTIONS.names), *list(raw_lines(605))[600:]]
+    (other / "b.csv").write_text("\n".join(lines) + "\n")
+    bronze.ingest(spark, str(other), tables.bronze)  # Bronze grows meanwhile
+    flow.run(spark, raw, customers, tables, min_auc=0.0)
+    assert done == ["write_silver", "write_gold", "write_silver", "write_gold", "train"]
+    assert lake.read_table(spark, tables.silver).count() == 605
+
+
+def test_a_new_file_in_the_drop_is_another_run(spark, drop, tmp_path):
+    raw, customers = drop(100, bad=30)
+    tables = flow.Lake(str(tmp_path / "lake"))
+    with pytest.raises(flow.GateFailed):
+        flow.run(spark, raw, customers, tables, skip_seen_files=True)
+    with pytest.raises(flow.GateFailed):
+        flow.run(spark, raw, customers, tables, skip_seen_files=True)
+    assert lake.read_table(spark, tables.bronze).count() == 100
+    drop(500, name="b.csv")
+    flow.run(spark, raw, customers, tables, min_auc=0.0, skip_seen_files=True)
+    assert lake.read_table(spark, tables.bronze).count() == 600
+
+
+def test_bronze_that_ended_between_batch_and_entry_is_stored_once(spark, drop, tmp_path, monkeypatch):
+    from tillgrain.operators import bronze
+
+    raw, customers = drop(600)
+    tables = flow.Lake(str(tmp_path / "lake"))
+    real = bronze.ingest
+
+    def ending(*args, **kwargs):
+        real(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(bronze, "ingest", ending)
+    with pytest.raises(RuntimeError):
+        flow.run(spark, raw, customers, tables)
+    monkeypatch.undo()
+    flow.run(spark, raw, customers, tables, min_auc=0.0)
+    assert lake.read_table(spark, tables.bronze).count() == 600
+
+
+def test_interleaved_trainings_leave_two_versions_and_two_models(spark, drop, tmp_path, monkeypatch):
+    from tillgrain.operators import bronze, forest
+
+    raw, customers = drop(1200)
+    tables = flow.Lake(str(tmp_path / "lake"))
+    bronze.ingest(spark, raw, tables.bronze)
+    flow.write_silver(spark, tables)
+    flow.write_gold(spark, customers, tables)
+    fit, nested = forest.fit_churn_model, []
+
+    def fitting(train):
+        if not nested:  # while the first training fits, a second one starts and ends
+            nested.append(True)
+            flow.train(spark, tables)
+        return fit(train)
+
+    monkeypatch.setattr(forest, "fit_churn_model", fitting)
+    flow.train(spark, tables)
+    runs = flow.model_runs(spark, tables).orderBy("version").collect()
+    assert [r["version"] for r in runs] == [1, 2]
+    assert len({r["model_path"] for r in runs}) == 2
+    assert runs[0]["logged_at"] > runs[1]["logged_at"]  # the first to claim was the last to end
+    # Both are equally good: in the order of the claims the first one is promoted, the second is not.
+    assert flow.load_production(spark, tables)[1] == 1
+    assert all(forest.ChurnModel.load(spark, r["model_path"]).n_regions == 2 for r in runs)
+    # A training that ends without a run leaves its number behind.
+    flow.claim_version(spark, tables, flow.MODEL_NAME)
+    flow.train(spark, tables)
+    assert flow.model_runs(spark, tables).agg({"version": "max"}).first()[0] == 4

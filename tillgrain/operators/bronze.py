@@ -39,15 +39,17 @@ def ingest(
     fmt: str = "parquet",
     skip_seen_files: bool = False,
     ingested_at: str | None = None,
+    batch_id: str | None = None,
 ) -> DataFrame:
     """Append a CSV drop to the Bronze table and return what was appended.
 
-    Appending the same drop twice stores it twice unless skip_seen_files is set.
+    Appending the same drop twice stores it twice unless skip_seen_files is set, or it is the same
+    batch: one that is named again takes its own place.
     """
     files = lake.unseen_files(spark, input_path, output_path) if skip_seen_files else input_path
     if not files:
         return spark.createDataFrame([], schemas.BRONZE_TRANSACTIONS)
     raw = lake.read_csv(spark, files, schemas.RAW_TRANSACTIONS)
     batch = with_lineage(raw, ingested_at)
-    store_batch(batch, output_path, f"run-{uuid.uuid4().hex}", fmt)
+    store_batch(batch, output_path, batch_id or f"run-{uuid.uuid4().hex}", fmt)
     return batch

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillgrain.operators.ranking import running_totals
+from tillgrain.operators.ranking import numbered, running_totals
+from tillgrain.operators.selection import medians
 
 LABEL = "churned"
 LEAKY_COLUMN = "days_since_last_purchase"  # the label is defined on it
@@ -25,28 +26,33 @@ def check_features(columns=FEATURES) -> None:
 
 
 def region_codes(features: DataFrame) -> DataFrame:
-    """Regions numbered from 0 in sorted order. The window holds one row per distinct region."""
+    """The dictionary of regions: region, region_encoded, numbered from 0 in sorted order.
+
+    A table of any length: it is numbered range by range and joined, never held as a whole.
+    """
     regions = features.select(F.coalesce("region", F.lit(NO_REGION)).alias("region")).distinct()
-    return regions.withColumn(
-        "region_encoded", F.row_number().over(Window.orderBy("region")).cast("int") - 1
-    )
+    codes = numbered(regions, ["region"], "_place")
+    return codes.select("region", (F.col("_place") - 1).cast("int").alias("region_encoded"))
 
 
-def encode_features(features: DataFrame) -> DataFrame:
-    """Fill age with its exact median and region with a constant, and add the region code.
+def with_codes(features: DataFrame, codes: DataFrame, unseen: int | None = None) -> DataFrame:
+    """features, its regions filled, with the code of each from a dictionary; regions that are not in it
+    have the code `unseen`."""
+    filled = features.withColumn("region", F.coalesce("region", F.lit(NO_REGION)))
+    coded = filled.join(codes, "region", "left")
+    code = F.col("region_encoded") if unseen is None else F.coalesce("region_encoded", F.lit(unseen))
+    return coded.select(*features.columns, code.alias("region_encoded"))
 
-    The median keeps a count per distinct age, not the rows.
-    """
-    median_age = features.agg(F.median("age")).scalar()
-    filled = features.withColumns(
-        {
-            "region": F.coalesce("region", F.lit(NO_REGION)),
-            "age": F.coalesce(F.col("age"), median_age),
-        }
-    )
-    return filled.join(region_codes(features), "region", "left").select(
-        *features.columns, "region_encoded"
-    )
+
+def median_age(features: DataFrame) -> float | None:
+    found = medians(features, "age").first()
+    return None if found is None else found["median"]
+
+
+def encode_features(features: DataFrame) -> DataFrame:
+    """Fill age with its exact median and region with a constant, and add the region code."""
+    filled = features.withColumn("age", F.coalesce("age", F.lit(median_age(features)).cast("double")))
+    return with_codes(filled, region_codes(features))
 
 
 def label_stats(features: DataFrame) -> DataFrame:

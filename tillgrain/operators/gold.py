@@ -34,6 +34,18 @@ def purchases(silver: DataFrame) -> DataFrame:
     )
 
 
+def merged(bought: DataFrame, *keys: str) -> DataFrame:
+    """Purchases of the same keys made one row; rows of other pieces of Silver, or of finer keys."""
+    cents = F.sum("cents").cast("decimal(38,2)")
+    return bought.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("transactions", "amounts", "units")],
+        cents.alias("cents"),
+        F.sum("rest").alias("rest"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+    )
+
+
 def _money() -> Column:
     return money_total(F.sum("cents"), F.sum("rest"))
 
@@ -58,7 +70,11 @@ def sorted_sales(sales: DataFrame) -> DataFrame:
 
 
 def customer_totals(bought: DataFrame) -> DataFrame:
-    return bought.groupBy("customer_id").agg(
+    return totals_by(bought, "customer_id")
+
+
+def totals_by(bought: DataFrame, *keys: str) -> DataFrame:
+    return bought.groupBy(*keys).agg(
         F.sum("transactions").alias("total_transactions"),
         _money().alias("lifetime_value"),
         F.try_divide(_money(), F.sum("amounts")).alias("avg_transaction_value"),
@@ -104,9 +120,13 @@ def features_of(
     dimension keep NULL attributes.
     """
     today = as_of(bought) if as_of_date is None else F.lit(as_of_date)
+    return features_from(customer_totals(bought), customers, today)
+
+
+def features_from(totals: DataFrame, customers: DataFrame, today: Column) -> DataFrame:
+    """Features and churn label from the totals of each customer, seen from a day."""
     return (
-        customer_totals(bought)
-        .withColumn(
+        totals.withColumn(
             "days_since_last_purchase",
             F.datediff(F.to_date(today), F.to_date("last_purchase_ts")),
         )

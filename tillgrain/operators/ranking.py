@@ -4,7 +4,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillgrain.session import stage
@@ -46,7 +46,7 @@ def running_totals(
     )
 
 
-def with_range_bucket(df: DataFrame, order: Sequence[str], name: str = "_bucket") -> DataFrame:
+def with_range_bucket(df: DataFrame, order: Sequence[str | Column], name: str = "_bucket") -> DataFrame:
     """df staged with a bucket that does not decrease along the order: the partition of a range
     exchange.
 
@@ -56,3 +56,21 @@ def with_range_bucket(df: DataFrame, order: Sequence[str], name: str = "_bucket"
     """
     ranged = df.repartitionByRange(*order).withColumn(name, F.spark_partition_id())
     return stage(ranged, "range_buckets")
+
+
+def numbered(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """df with the place of each row in the order, from 1 on.
+
+    Rows are numbered within ranges of the order, and every range goes on where the one before it ends.
+    What the driver adds up is one number for each range, of which there are as many as partitions.
+    """
+    ranged = with_range_bucket(df, order, "_range")
+    sizes = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
+    if not sizes:
+        return ranged.withColumn("_range", F.lit(0).cast("bigint")).withColumnRenamed("_range", name)
+    before, pairs = 0, []
+    for bucket in sorted(sizes):
+        pairs += [F.lit(bucket), F.lit(before).cast("bigint")]
+        before += sizes[bucket]
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(name, within + F.create_map(*pairs)[F.col("_range")]).drop("_range")

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillgrain import schemas
@@ -20,7 +20,7 @@ from tillgrain.operators import (
     reports,
     silver,
 )
-from tillgrain.plans import flow
+from tillgrain.plans import flow, incremental
 from tillgrain.session import scratch_path, stage
 from tillgrain.sources import feed, lake, logs
 from tillgrain.streaming import ingest
@@ -322,6 +322,11 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             ingest.stream_silver(
                 spark, tables.bronze, tables.silver, tables.quarantine, checkpoint
             ).awaitTermination()
+    return _both_silver(spark, tables)
+
+
+def _both_silver(spark: SparkSession, tables: flow.Lake) -> DataFrame:
+    """All columns of the clean table and of the quarantine but the lineage."""
     clean = lake.read_table(spark, tables.silver).drop("_ingested_at", "_source_file")
     bad = lake.read_table(spark, tables.quarantine).drop("_ingested_at")
     return (
@@ -333,6 +338,104 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _drop(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("append").option("header", True).csv(folder)
+
+
+def _by_thirds(rows: DataFrame) -> list[DataFrame]:
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    return [rows.where(part == i) for i in range(3)]
+
+
+@query
+def two_streams_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with a drop folder each fill one Bronze table; then the first one's checkpoint is
+    lost after its folder was emptied, and it starts anew on new files."""
+    stored = scratch_path(spark, "bronze")
+    for rows in _by_thirds(feed.transactions(spark, sf_dir)):
+        raw, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "stream")
+        _drop(rows, raw)
+        for _ in range(2):
+            ingest.stream_bronze(spark, raw, stored, checkpoint).awaitTermination()
+    return _received(lake.read_table(spark, stored))
+
+
+@query
+def two_streams_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams from a Bronze table each fill one Silver; the second finds what the first has stored."""
+    tables = flow.Lake(scratch_path(spark, "lake"))
+    first, second, third = _by_thirds(feed.transactions(spark, sf_dir))
+    for rows in (first.unionByName(second), second.unionByName(third)):
+        raw, stored = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
+        _drop(rows, raw)
+        ingest.stream_bronze(spark, raw, stored, scratch_path(spark, "stream")).awaitTermination()
+        ingest.stream_silver(
+            spark, stored, tables.silver, tables.quarantine, scratch_path(spark, "stream")
+        ).awaitTermination()
+    return _both_silver(spark, tables)
+
+
+def _months(rows: DataFrame) -> list[DataFrame]:
+    """Three drops, mostly of one span of time each; a tenth of the rows comes two drops late."""
+    year = F.coalesce(F.year(F.col("transaction_ts").try_cast("date")), F.lit(0))
+    span = F.when(year < 1994, 0).when(year < 1996, 1).otherwise(2)
+    late = F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == 0
+    # Copies of a transaction come together, as batch Silver chooses among all of them.
+    first = F.min(F.when(late, 2).otherwise(span)).over(Window.partitionBy("transaction_id"))
+    dealt = stage(rows.withColumn("drop", first), "dealt")
+    return [dealt.where(F.col("drop") == i).drop("drop") for i in range(3)]
+
+
+def _lake_in_batches(spark: SparkSession, sf_dir: str) -> tuple[flow.Lake, str]:
+    """Silver streamed in three batches, with Gold brought up to it after each."""
+    tables, checkpoint = flow.Lake(scratch_path(spark, "lake")), scratch_path(spark, "stream")
+    customers = scratch_path(spark, "customers")
+    lake.write_csv(feed.customers(spark, sf_dir), customers)
+    for i, rows in enumerate(_months(feed.transactions(spark, sf_dir))):
+        bronze.store_batch(
+            rows.withColumns({"_ingested_at": F.lit(f"day {i}"), "_source_file": F.lit(f"drop-{i}")}),
+            tables.bronze,
+            f"drop-{i}",
+        )
+        ingest.stream_silver(
+            spark, tables.bronze, tables.silver, tables.quarantine, checkpoint, ids_per_bucket=20_000
+        ).awaitTermination()
+        incremental.update_gold(spark, customers, tables)
+    return tables, customers
+
+
+@query
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver over four batches, the last of which replays a part of all others, with small buckets of
+    ids, so that the index is made anew on the way."""
+    tables, checkpoint = flow.Lake(scratch_path(spark, "lake")), scratch_path(spark, "stream")
+    rows = feed.transactions(spark, sf_dir)
+    for i, drop in enumerate([*_months(rows), _by_thirds(rows)[1]]):
+        bronze.store_batch(
+            drop.withColumns({"_ingested_at": F.lit(f"day {i}"), "_source_file": F.lit(f"drop-{i}")}),
+            tables.bronze,
+            f"drop-{i}",
+        )
+        ingest.stream_silver(
+            spark, tables.bronze, tables.silver, tables.quarantine, checkpoint, ids_per_bucket=5_000
+        ).awaitTermination()
+    return _both_silver(spark, tables)
+
+
+@query
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category sales after three batches, each merged into what the ones before have left."""
+    tables, _ = _lake_in_batches(spark, sf_dir)
+    return lake.read_table(spark, f"{tables.gold}/category_sales").select(*schemas.CATEGORY_SALES.names)
+
+
+@query
+def features_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer features after three batches, each merged into what the ones before have left."""
+    tables, _ = _lake_in_batches(spark, sf_dir)
+    return lake.read_table(spark, f"{tables.gold}/customer_features")
+
+
 @query
 def stream_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Bronze table fed by the stream, by a batch job and by the stream again."""
@@ -677,6 +780,34 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails at the model gate and is started again with another one: how often each step was
+    done, and what is in Bronze."""
+    tables = flow.Lake(scratch_path(spark, "lake"))
+    raw, customers = scratch_path(spark, "raw"), scratch_path(spark, "customers")
+    lake.write_csv(feed.transactions(spark, sf_dir), raw)
+    lake.write_csv(feed.customers(spark, sf_dir), customers)
+    try:
+        flow.run(spark, raw, customers, tables, min_auc=1.01)
+    except flow.GateFailed:
+        flow.run(spark, raw, customers, tables, min_auc=0.0)
+    history = logs.read_log(spark, tables.history, schemas.METRICS_HISTORY)
+    stored, silver_rows = lake.read_table(spark, tables.bronze), lake.read_table(spark, tables.silver)
+    return history.agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.count_if(F.col("failed_step") == "model_gate").alias("failed_at_the_gate"),
+        F.count_if(F.col("failed_step").isNull()).alias("complete"),
+        F.max("model_version").alias("model_version"),
+    ).withColumns(
+        {
+            "bronze_rows": stored.agg(F.count(F.lit(1))).scalar(),
+            "silver_rows": silver_rows.agg(F.count(F.lit(1))).scalar(),
+            "trained": flow.model_runs(spark, tables).agg(F.count(F.lit(1))).scalar(),
+        }
+    )
+
+
 def _lake_with_scores(spark: SparkSession, sf_dir: str) -> flow.Lake:
     """A lake up to the stored scores of its production model."""
     tables, customers = _lake_with_bronze(spark, sf_dir), scratch_path(spark, "customers")

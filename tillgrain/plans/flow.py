@@ -1,9 +1,10 @@
 """The gated batch flow: Bronze, quality gate, Silver, Gold, training, model gate, run record."""
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +22,10 @@ from tillgrain.operators import (
     registry,
     silver,
 )
+from tillgrain.plans import steps
 from tillgrain.session import stage, staging
 from tillgrain.sources import lake, logs
+from tillgrain.sources.files import Ledger
 
 MODEL_NAME = "churn-model"
 
@@ -50,6 +53,18 @@ class Lake:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def purchases(self) -> str:
+        return f"{self.gold}/purchases"
+
+    @property
+    def customer_purchases(self) -> str:
+        return f"{self.gold}/customer_purchases"
+
+    @property
+    def customer_totals(self) -> str:
+        return f"{self.gold}/customer_totals"
+
     @property
     def scores(self) -> str:
         return f"{self.gold}/customer_scores"
@@ -62,6 +77,10 @@ class Lake:
     def models(self) -> str:
         return f"{self.root}/models/stored"
 
+    @property
+    def steps(self) -> str:
+        return f"{self.root}/steps"
+
     @property
     def reports(self) -> str:
         return f"{self.root}/reports"
@@ -85,7 +104,11 @@ def run(
     skip_seen_files: bool = False,
     keep_history: bool = True,
 ) -> None:
-    """Run every step; whatever ends the run, a gate or an error, it is put on record first."""
+    """Run every step; whatever ends the run, a gate or an error, it is put on record first.
+
+    A run on the same files as the last one, which did not get to its end, goes on at the first step
+    that is not done, or whose input has changed since.
+    """
     with staging(spark):
         _run(
             spark,
@@ -111,23 +134,37 @@ def _run(
 ) -> None:
     started, step = time.time(), "bronze"
     quality_verdict = model_verdict = None
+    raw = steps.files_below(spark, raw_transactions)
+    done = steps.Steps(spark, lake_tables.steps, steps.fingerprint(raw, skip_seen_files))
+
+    def once(name: str, reads: list, do: Callable[[], Any]) -> None:
+        read = steps.fingerprint(*reads)
+        if done.made(name, read) is None:
+            made = do()
+            done.note(name, read, made if isinstance(made, (dict, list, str, int)) else True)
+
     try:
-        bronze.ingest(
-            spark, raw_transactions, lake_tables.bronze, lake_tables.fmt, skip_seen_files
-        )
+        # Should the first try have ended between batch and entry, the batch takes its own place.
+        batch_id = f"run-{done.number}-{steps.fingerprint(raw)[:16]}"
+        ingested = (spark, raw_transactions, lake_tables.bronze, lake_tables.fmt, skip_seen_files)
+        once("bronze", raw, lambda: bronze.ingest(*ingested, batch_id=batch_id))
         step = "quality_gate"
         quality_verdict = check_quality(spark, lake_tables, dq_threshold)
         _require(quality_verdict, "data quality score is below the threshold")
         step = "silver"
-        write_silver(spark, lake_tables)
+        bronze_now = steps.version_of(spark, lake_tables.bronze)
+        once("silver", bronze_now, lambda: write_silver(spark, lake_tables))
         step = "gold"
-        write_gold(spark, customers, lake_tables)
+        gold_reads = [steps.version_of(spark, lake_tables.silver), steps.files_below(spark, customers)]
+        once("gold", gold_reads, lambda: write_gold(spark, customers, lake_tables))
         step = "training"
-        train(spark, lake_tables)
+        features_now = steps.version_of(spark, f"{lake_tables.gold}/customer_features")
+        once("training", features_now, lambda: train(spark, lake_tables))
         step = "model_gate"
         model_verdict = check_model(spark, lake_tables, min_auc)
         _require(model_verdict, "no production model reaches the minimum ROC-AUC")
         step = None
+        done.complete()
     finally:
         if keep_history:
             record_run(
@@ -154,9 +191,9 @@ def write_silver(spark: SparkSession, tables: Lake) -> dict[str, int]:
     )
     clean = silver.clean_rows(staged.where(~F.col("_rejected")))
     quarantined = silver.quarantined_rows(staged.where(F.col("_rejected")))
-    # The whole of Bronze is in this one batch, so it may replace what a stream has written so far.
-    lake.replace_batches(clean, tables.silver, "full", tables.fmt)
-    lake.replace_batches(quarantined, tables.quarantine, "full", tables.fmt)
+    # All of Bronze is in these rows, so they may replace what a stream has written so far.
+    lake.overwrite_table(clean, tables.silver, tables.fmt)
+    lake.overwrite_table(quarantined, tables.quarantine, tables.fmt)
     # Reads row counts only: the outcome is in the path.
     counts = {row["_rejected"]: row["count"] for row in staged.groupBy("_rejected").count().collect()}
     return {"clean_rows": counts.get(False, 0), "quarantined_rows": counts.get(True, 0)}
@@ -173,15 +210,26 @@ def write_gold(spark: SparkSession, customers: str, tables: Lake) -> None:
     )
 
 
-def train(spark: SparkSession, tables: Lake, model_name: str = MODEL_NAME) -> PipelineModel:
+def claim_version(spark: SparkSession, tables: Lake, model_name: str) -> int:
+    """A version number that no other training gets, however many run at once.
+
+    Promotion is decided in the order of the numbers. A training that does not end leaves a number
+    that no run has.
+    """
+    logged = registry.next_version(model_runs(spark, tables), model_name).first()["version"]
+    claims = Ledger(spark, f"{tables.models}/{model_name}/_versions")
+    return claims.claim({"claimed_at": bronze.utc_now()}, at_least=logged)
+
+
+def train(spark: SparkSession, tables: Lake, model_name: str = MODEL_NAME) -> forest.ChurnModel:
     """Fit on four fifths of the customers, measure on the rest, store the model, log the run."""
     customers = lake.read_table(spark, f"{tables.gold}/customer_features", tables.fmt)
     split = stage(features.stratified_split(customers), "split", "is_test")
-    version = registry.next_version(model_runs(spark, tables), model_name).first()["version"]
+    version = claim_version(spark, tables, model_name)
     path = f"{tables.models}/{model_name}/{version}"
-    forest.fit_churn_model(split.where(~F.col("is_test"))).write().overwrite().save(path)
+    forest.fit_churn_model(split.where(~F.col("is_test"))).save(path)
     # What is measured is the stored model, the one that will be served.
-    model = PipelineModel.load(path)
+    model = forest.ChurnModel.load(spark, path)
     scored = stage(forest.score_customers(model, split.where("is_test")), "scored")
     log_model_run(customers, scored, tables, model_name, version, path, model)
     return model
@@ -192,7 +240,7 @@ def register_baseline(spark: SparkSession, tables: Lake, model_name: str = MODEL
     customers = lake.read_table(spark, f"{tables.gold}/customer_features", tables.fmt)
     test = features.stratified_split(customers).where("is_test")
     scored = stage(evaluation.majority_scores(test, score="churn_risk_score"), "scored")
-    version = registry.next_version(model_runs(spark, tables), model_name).first()["version"]
+    version = claim_version(spark, tables, model_name)
     log_model_run(customers, scored, tables, model_name, version, None, None)
 
 
@@ -203,7 +251,7 @@ def log_model_run(
     model_name: str,
     version: int,
     path: str | None,
-    model: PipelineModel | None,
+    model: forest.ChurnModel | None,
 ) -> None:
     """Append one row to model_runs. Without a model the run is a baseline, not promotable."""
     auc = evaluation.roc_auc(scored, "churn_risk_score")
@@ -249,7 +297,7 @@ def model_runs(spark: SparkSession, tables: Lake) -> DataFrame:
 
 def load_production(
     spark: SparkSession, tables: Lake, model_name: str = MODEL_NAME
-) -> tuple[PipelineModel, int]:
+) -> tuple[forest.ChurnModel, int]:
     """The production model and its version."""
     run_row = (
         registry.production_models(model_runs(spark, tables))
@@ -258,7 +306,7 @@ def load_production(
     )
     if run_row is None:
         raise LookupError(f"no version of {model_name} is in production")
-    return PipelineModel.load(run_row["model_path"]), run_row["version"]
+    return forest.ChurnModel.load(spark, run_row["model_path"]), run_row["version"]
 
 
 def score(spark: SparkSession, tables: Lake, model_name: str = MODEL_NAME) -> int:

@@ -379,6 +379,16 @@ _leaks = "\nUNION ALL ".join(
     for c in (*[f for f, _ in FEATURES], "days_since_last_purchase")
 )
 
+_BOTH_SILVER = (
+    _with("tagged")
+    + """
+        SELECT transaction_id, customer_id, product_category, quantity, transaction_amount,
+               CASE WHEN reasons = '' THEN unit_price END AS unit_price,
+               CASE WHEN reasons = '' THEN payment_method END AS payment_method,
+               CASE WHEN reasons = '' THEN ts END AS transaction_ts, reasons AS _dq_failures
+        FROM tagged"""
+)
+
 ORACLE: dict[str, str] = {
     "bronze_feed": _with("feed") + f"SELECT {_raw} FROM feed",
     "dirty_feed": _with("feed")
@@ -451,16 +461,15 @@ ORACLE: dict[str, str] = {
         SELECT transaction_id, customer_id, product_category, transaction_amount,
                reasons <> '' AS quarantined
         FROM tagged""",
-    "stream_dedup": _with("tagged")
-    + """
-        SELECT transaction_id, customer_id, product_category, quantity, transaction_amount,
-               CASE WHEN reasons = '' THEN unit_price END AS unit_price,
-               CASE WHEN reasons = '' THEN payment_method END AS payment_method,
-               CASE WHEN reasons = '' THEN ts END AS transaction_ts, reasons AS _dq_failures
-        FROM tagged""",
+    "stream_dedup": _BOTH_SILVER,
+    "silver_incremental": _BOTH_SILVER,
+    "two_streams_silver": _BOTH_SILVER,
+    "two_streams_bronze": _received,
     "stream_and_batch": _received,
     "category_sales": _with("sales") + "SELECT * FROM sales",
     "customer_features": _with("features") + "SELECT * FROM features",
+    "gold_incremental": _with("sales") + "SELECT * FROM sales",
+    "features_incremental": _with("features") + "SELECT * FROM features",
     "churn_summary": _with("features")
     + """
         SELECT count(*) AS total_customers, sum(churned)::BIGINT AS churned_customers,
@@ -598,6 +607,11 @@ ORACLE: dict[str, str] = {
                fully_passing_rows AS dq_fully_passing_rows, 1 AS model_version,
                true AS model_gate_passed, true AS complete
         FROM (SELECT {_score("feed")})""",
+    "resumed_run": _with("feed", "clean")
+    + """
+        SELECT 2::BIGINT AS runs, 1::BIGINT AS failed_at_the_gate, 1::BIGINT AS complete,
+               1 AS model_version, (SELECT count(*) FROM feed) AS bronze_rows,
+               (SELECT count(*) FROM clean) AS silver_rows, 1::BIGINT AS trained""",
     "highest_risk": _with("scored")
     + """
         SELECT customer_id, region, lifetime_value, days_since_last_purchase,

@@ -50,6 +50,22 @@ QUARANTINE = _struct(
     _ingested_at=_string,
 )
 
+_BOUGHT = dict(
+    transactions=_long,
+    amounts=_long,
+    units=_long,
+    cents=T.DecimalType(38, 2),
+    rest=_double,
+    first_ts=T.TimestampNTZType(),
+    last_ts=T.TimestampNTZType(),
+)
+
+PURCHASES = _struct(
+    transaction_date=T.DateType(), product_category=_string, customer_id=_string, **_BOUGHT
+)
+
+CUSTOMER_PURCHASES = _struct(bucket=_int, customer_id=_string, product_category=_string, **_BOUGHT)
+
 CATEGORY_SALES = _struct(
     transaction_date=T.DateType(),
     product_category=_string,
@@ -75,6 +91,8 @@ CUSTOMER_FEATURES = _struct(
     churned=_int,
 )
 
+CUSTOMER_TOTALS = T.StructType(_struct(bucket=_int).fields + CUSTOMER_FEATURES.fields[:7])
+
 MODEL_RUNS = _struct(
     model_name=_string,
     version=_int,

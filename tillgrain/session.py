@@ -1,6 +1,7 @@
 """Session settings and the shared folder in which long plans are cut."""
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -33,24 +34,31 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
-_scopes: list[list[str]] = []
+class _Scopes(threading.local):
+    """Scopes of one thread: what another one stages, a stream's batch say, is not its to delete."""
+
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
+
+
+_scopes = _Scopes()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if _scopes.open:
+        _scopes.open[-1].append(path)
     return path
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Deletes at its end what was staged within it; nothing that reads on may be left by then."""
-    _scopes.append([])
+    _scopes.open.append([])
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        for path in _scopes.open.pop():
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 

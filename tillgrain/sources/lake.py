@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillgrain import schemas
-
-
-BATCH = "batch_id"  # the folder of a batch below a table; not a column of the table
+from tillgrain.sources import parts
+from tillgrain.sources.parts import BATCH
 
 
 class TableMissing(Exception):
@@ -27,21 +26,42 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A lake table; fmt "delta" needs the Delta jar on the session's class path."""
+    """A lake table; fmt "delta" needs the Delta jar on the session's class path.
+
+    The files of a parquet table are looked up once, here: what is replaced later does not show.
+    """
     try:
-        return spark.read.format(fmt).load(path).drop(BATCH)
+        if fmt == "parquet":
+            return _stored(spark, path).drop(BATCH)
+        return spark.read.format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise TableMissing(path) from error
         raise
 
 
+def _stored(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """Rows of a parquet table, with their batch where it has batches; all batches but one."""
+    reader = spark.read.option("basePath", path)
+    folders = parts.Versions(spark, path).folders()
+    if folders is None:
+        found = reader.parquet(path)
+        return found if without is None else found.where(F.col(BATCH) != without)
+    if not folders:
+        raise TableMissing(path)
+    return reader.parquet(*[f"{path}/{f}" for f in folders if f != f"{BATCH}={without}"]).drop(parts.PART_SET)
+
+
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("overwrite").format(fmt).save(path)
+    """Replace all rows of a table. Readers see the old rows or the new ones."""
+    if fmt == "parquet":
+        parts.replace_all(df, path)
+    else:
+        df.write.mode("overwrite").format(fmt).save(path)
 
 
 def write_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
@@ -55,29 +75,16 @@ def write_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> N
         append_table(df, path, fmt)
 
 
-def replace_batches(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
-    """Replace all batches of a table by one. The new one is there before the others go."""
-    if fmt != "parquet":
-        overwrite_table(df, path, fmt)
-        return
-    write_batch(df, path, batch)
-    spark = df.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for entry in files.listStatus(root):
-        if entry.getPath().getName() != f"{BATCH}={batch}":
-            files.delete(entry.getPath(), True)
-
-
 def other_batches(spark: SparkSession, path: str, batch: str, schema: T.StructType) -> DataFrame:
     """Rows of a parquet table but those of one batch; no rows if there is no table yet."""
     try:
-        stored = spark.read.option("basePath", path).parquet(path)
+        return _stored(spark, path, without=batch).select(*schema.names)
+    except TableMissing:
+        return spark.createDataFrame([], schema)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return spark.createDataFrame([], schema)
         raise
-    return stored.where(F.col(BATCH) != batch).select(*schema.names)
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
