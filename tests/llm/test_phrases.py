@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import AWKWARD, documents, prose
 from tillgrain.llm import phrases
@@ -91,6 +92,8 @@ def found_by(df):
 )
 def test_counts_equal_counting_everything(spark, case, monkeypatch):
     monkeypatch.setattr(phrases, "MIN_BITS", 64)
+    monkeypatch.setattr(phrases, "BUCKET_BYTES", 30_000)
+    monkeypatch.setattr(phrases, "HELD_HASHES", 1000)
     rows = corpus()
     found = found_by(phrases.mine(frame(spark, rows), **case))
     assert found == slow_frequent(rows, case.get("min_count", MIN_COUNT), case.get("max_words", 3))
@@ -101,15 +104,77 @@ def test_each_phrase_is_counted_in_one_pass_only(spark):
     assert found.count() == found.select("lang", "phrase").distinct().count()
 
 
+def words_of(texts, group="g", overlap=2, limit=10**9):
+    made = phrases.buffers((t.encode() for t in texts), overlap, limit)
+    return [phrases.Words(group, buffer, carried) for buffer, carried in made]
+
+
+def test_phrases_that_share_a_hash_are_counted_as_texts(spark, monkeypatch):
+    """A filter that wants every hash, and likely hashes that say that each is shared."""
+    rows = corpus()
+    texts = phrases.grouped(frame(spark, rows))
+    context = spark.sparkContext
+    every = context.broadcast(np.full(64, 2**64 - 1, np.uint64))
+    named = phrases.names_of_hashes(texts, 3, every, None, every)
+    want = all_counts(rows)
+    got = {(r.lang, r.phrase): r.hash for r in named.where("phrase <> ''").collect()}
+    assert set(got) == {(g, p) for g, found in want.items() for p in found}
+    assert len(set(got.values())) == len(got)
+    counted = phrases.phrase_counts(texts, 3, every, None, every).groupBy("lang", "phrase").sum("n").collect()
+    assert {(r[0], r[1]): r[2] for r in counted} == {(g, p): n for g, f in want.items() for p, n in f.items()}
+    # One phrase is given the hash of another: both are counted again, and both counts are right.
+    real = phrases.names_of_hashes
+    (g, p), (_, q) = ("en", "red tape"), ("en", "tape")
+
+    def confused(*args, **kwargs):
+        found = real(*args, **kwargs)
+        is_q = (found.lang == g) & (found.phrase == q)
+        return found.withColumn("hash", F.when(is_q, F.lit(got[g, p])).otherwise(F.col("hash")))
+
+    real_counts = phrases.phrase_counts
+
+    def counting(*args, **kwargs):
+        found = real_counts(*args[:4], every, **kwargs)
+        is_q = (found.lang == g) & (found.phrase == q)
+        return found.withColumn("hash", F.when(is_q, F.lit(got[g, p])).otherwise(F.col("hash")))
+
+    monkeypatch.setattr(phrases, "names_of_hashes", confused)
+    monkeypatch.setattr(phrases, "phrase_counts", counting)
+    assert found_by(phrases.mine(frame(spark, rows), sample_one_in=1)) == slow_frequent(rows, MIN_COUNT)
+
+
+def test_a_second_hash_tells_phrases_with_one_hash_apart():
+    hashes, second = np.array([5, 7, 5, 5, 9], np.uint64), np.array([1, 2, 1, 3, 4], np.uint64)
+    empty = np.empty(0, np.uint64)
+    new, seen = phrases.unseen((empty, empty), hashes, second)
+    assert sorted(new.tolist()) == [0, 1, 3, 4] and seen[0].tolist() == [5, 7, 9] and seen[1].tolist() == [1, 2, 4]
+    new, seen = phrases.unseen(seen, np.array([9, 5, 6], np.uint64), np.array([4, 3, 8], np.uint64))
+    assert sorted(new.tolist()) == [1, 2] and seen[0].tolist() == [5, 6, 7, 9]
+    new, seen = phrases.unseen(seen, empty, empty)
+    assert len(new) == 0
+
+
+def test_hashes_of_words_and_phrases():
+    a, b = words_of(["One  two\tone two. three", "", "x" * 70_000 + " one"]), words_of(["one two three x"], "h")
+    (a,), (b,) = a, b
+    assert [a.phrase(i, 1) for i in range(6)] == [b"one", b"two", b"one", b"two", b"three", b"x" * 70_000]
+    assert a.hashes[0] == a.hashes[2] == a.hashes[6] and len(set(a.hashes.tolist())) == 4
+    assert not set(a.hashes.tolist()) & set(b.hashes.tolist())  # groups have hashes of their own
+    assert a.joined.tolist() == [True, True, True, False, False, True, False]
+    assert a.phrase(1, 3) == b"two one two"
+    assert a.second_hashes(np.array([0, 2]), 2).tolist() == [a.second_hashes(np.array([0]), 2)[0]] * 2
+    assert words_of([" .,", ""])[0].hashes.tolist() == [] and words_of([]) == []
+
+
 def test_a_failure_of_the_border_starts_another_pass(spark, monkeypatch):
     passes = []
-    counted = phrases.count_phrases
-    monkeypatch.setattr(phrases, "count_phrases", lambda *a, **k: passes.append(a) or counted(*a, **k))
+    counted = phrases.names_of_hashes
+    monkeypatch.setattr(phrases, "names_of_hashes", lambda *a, **k: passes.append(a) or counted(*a, **k))
     phrases.mine(frame(spark, corpus()), sample_one_in=10**9)
-    assert len(passes) == 1 + 3  # the sample, then one pass for each length
+    assert len(passes) == 3  # one pass for each length
     passes.clear()
     phrases.mine(frame(spark, corpus()), sample_one_in=1)
-    assert len(passes) == 1 + 1
+    assert len(passes) == 1
 
 
 def test_collocations_equal_brute_force(spark):
@@ -146,11 +211,10 @@ def test_empty_tables_and_other_columns(spark):
 
 
 def test_parts_of_a_long_text_overlap():
-    text = ("one two three. four\tfive " * 50).encode()
-    lists = list(phrases.token_lists([text, b"six"], 2, 37))
-    assert len(lists) > 10 and lists[0][1] == 0 and all(c == 2 for _, c in lists[1:-1])
-    whole = list(phrases.token_lists([text, b"six"], 2, 10**9))
-    assert len(whole) == 1
-    assert sum((t[c:] for t, c in lists), []) == whole[0][0]
-    assert max(len(t) for t, _ in lists) < 20
-    assert np.array_equal(phrases.phrase_hashes(["g"], ["a b"]), phrases.phrase_hashes(["h", "g"], ["a", "a b"])[1:])
+    texts = ["one two three. four\tfive " * 50, "six", " a " + "b" * 100 + " c"]
+    for overlap in (0, 2, 3):
+        parts, (whole,) = words_of(texts, overlap=overlap, limit=37), words_of(texts, overlap=overlap)
+        assert len(parts) > 20 and parts[0].carried == 0 and {w.carried for w in parts[1:]} <= {0, 1, overlap}
+        own = [w.phrase(i, 1) for w in parts for i in range(w.carried, len(w))]
+        assert own == [whole.phrase(i, 1) for i in range(len(whole))]
+        assert max(len(w) for w in parts) < 20

@@ -88,19 +88,28 @@ OP11 = rf"""
             SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
                 {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
             FROM documents),
-         words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+         words AS (
+            SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+         flat AS (SELECT r, lang, unnest(w) AS word, unnest(range(len(w))) AS p FROM words),
          grams AS (
-            SELECT lang, k, array_to_string(w[p : p + k - 1], ' ') AS phrase
-            FROM words, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(p)),
-         counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+            SELECT lang, word, lead(word, 1) OVER piece AS second, lead(word, 2) OVER piece AS third
+            FROM flat WINDOW piece AS (PARTITION BY r ORDER BY p)),
+         counts AS (
+            SELECT lang, 1 AS k, word AS phrase, count(*) AS f FROM grams GROUP BY ALL
+            UNION ALL
+            SELECT lang, 2, word || ' ' || second, count(*) FROM grams WHERE second IS NOT NULL GROUP BY ALL
+            UNION ALL
+            SELECT lang, 3, word || ' ' || second || ' ' || third, count(*)
+            FROM grams WHERE third IS NOT NULL GROUP BY ALL),
          totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
          candidates AS (
             SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w
             FROM counts WHERE k > 1 AND f >= {MIN_COUNT}),
          cuts AS (
-            SELECT lang, phrase, k, a, c, array_to_string(w[1 : c], ' ') AS head,
-                   array_to_string(w[c + 1 : k], ' ') AS tail
-            FROM candidates, unnest(range(1, k)) AS t(c)),
+            SELECT lang, phrase, k, a, 1 AS c, w[1] AS head, array_to_string(w[2 : k], ' ') AS tail
+            FROM candidates
+            UNION ALL
+            SELECT lang, phrase, k, a, 2, w[1] || ' ' || w[2], w[3] FROM candidates WHERE k = 3),
          cut_scores AS (
             SELECT cuts.*, x.f AS l, y.f AS r,
                    ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
@@ -111,8 +120,9 @@ OP11 = rf"""
             QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
          covered AS (
             SELECT DISTINCT x.lang, x.phrase
-            FROM (SELECT lang, a, array_to_string(w[p : p + s - 1], ' ') AS phrase
-                  FROM candidates, unnest(range(2, k)) AS u(s), unnest(range(1, k - s + 2)) AS t(p)) longer
+            FROM (SELECT lang, a, w[1] || ' ' || w[2] AS phrase FROM candidates WHERE k = 3
+                  UNION ALL
+                  SELECT lang, a, w[2] || ' ' || w[3] FROM candidates WHERE k = 3) longer
             JOIN candidates x USING (lang, phrase) WHERE 100 * longer.a >= {COVERED_PERCENT} * x.a),
          ranked AS (
             SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
