@@ -3,7 +3,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tillgrain.operators import evaluation, explain, features, forest, registry
@@ -151,8 +150,8 @@ def test_forest_beats_chance_and_is_stored_with_its_encoding(spark, tmp_path):
     assert list(importances) == list(features.FEATURES)
     assert sum(importances.values()) == pytest.approx(1.0)
     assert forest.importance_table(model, split).count() == 7
-    model.write().save(str(tmp_path / "m"))
-    stored = PipelineModel.load(str(tmp_path / "m"))
+    model.save(str(tmp_path / "m"))
+    stored = forest.ChurnModel.load(spark, str(tmp_path / "m"))
     # A region never seen, a missing region and a missing age are scored too.
     odd = split.where("is_test").withColumns(
         {
@@ -280,3 +279,73 @@ def test_rows_without_key_or_label_stay_in_the_split_and_in_the_metrics(spark):
     assert evaluation.classification_metrics(scored).first()["unscored_rows"] == 1
     grouped = scored.selectExpr("*", "CASE WHEN churned = 1 THEN NULL ELSE 'g' END AS kind")
     assert evaluation.roc_auc(grouped, by=["kind"]).count() == 2
+
+
+# ---- medians and dictionaries of any size
+
+
+def slow_median(pairs):
+    values = sorted((v for v, n in pairs if v is not None and (n or 0) > 0 for _ in range(n)), key=lambda v: (v != v, v))
+    if not values:
+        return None
+    return (values[(len(values) - 1) // 2] + values[len(values) // 2]) / 2
+
+
+@pytest.mark.parametrize("few", [1, 7, 100_000])
+def test_medians_equal_sorting(spark, few):
+    import random
+
+    from tillgrain.operators.selection import medians
+
+    rng, rows = random.Random(few), []
+    shapes = {
+        "wide": lambda: rng.random() * 1e9,
+        "tied": lambda: float(rng.randint(0, 3)),
+        "one": lambda: 5.0,
+        "null": lambda: None,
+        "nan": lambda: rng.choice([float("nan"), 1.0, 2.0, float("inf"), -float("inf"), None]),
+        None: lambda: rng.gauss(0, 1),
+    }
+    for name, make in shapes.items():
+        rows += [(name, "x" if i % 2 else None, make(), rng.choice([1, 1, 2, 5, 0, -1, None])) for i in range(301)]
+    df = spark.createDataFrame(rows, "g string, h string, v double, w int").repartition(5)
+    for by in ([], ["g"], ["g", "h"]):
+        for weight in (None, "w"):
+            found = medians(df, "v", by, weight, few=few, borders=8).collect()
+            want = {}
+            for g, h, v, w in rows:
+                key = tuple({"g": g, "h": h}[b] for b in by)
+                want.setdefault(key, []).append((v, w if weight else 1))
+            got = {tuple(r[b] for b in by): r["median"] for r in found}
+            expected = {k: slow_median(p) for k, p in want.items()}
+            assert {k: repr(v) for k, v in got.items()} == {k: repr(v) for k, v in expected.items()}, (by, weight)
+
+
+def test_median_of_as_many_values_as_rows_takes_rounds(spark):
+    from tillgrain.operators.selection import medians
+
+    df = spark.range(200_001).selectExpr("sqrt(id) * pow(-1, id) AS v")
+    want = sorted(float(r[0]) for r in df.collect())[100_000]
+    assert medians(df, "v", few=500, borders=16).first()["median"] == want
+    assert [tuple(r) for r in medians(df.limit(0), "v").collect()] == [(None,)]
+
+
+def test_a_large_dictionary_is_numbered_without_a_window_over_all(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 1000 != 7, F.concat(F.lit("r"), F.col("id") % 100_003)).alias("region")
+    )
+    codes = features.region_codes(df)
+    plan = codes._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    rows = codes.collect()
+    names = sorted({r["region"] or "UNKNOWN" for r in df.distinct().collect()})
+    assert {r["region"]: r["region_encoded"] for r in rows} == {n: i for i, n in enumerate(names)}
+
+
+def test_unseen_regions_share_the_code_after_the_last(spark):
+    codes = spark.createDataFrame([("A", 0), ("UNKNOWN", 1)], "region string, region_encoded int")
+    df = spark.createDataFrame([(1, "A"), (2, None), (3, "new"), (4, "newer")], "k int, region string")
+    found = features.with_codes(df, codes, unseen=2).orderBy("k").collect()
+    assert [(r["region"], r["region_encoded"]) for r in found] == [("A", 0), ("UNKNOWN", 1), ("new", 2), ("newer", 2)]

@@ -322,7 +322,7 @@ def test_gold_after_each_batch_equals_gold_from_all_of_silver(spark, tmp_path):
     tables = flow.Lake(str(tmp_path))
     (tmp_path / "customers.csv").write_text(CUSTOMERS)
     update = lambda: incremental.update_gold(spark, f"{tables.root}/customers.csv", tables, buckets=4)
-    days = Parts(spark, tables.purchases, "transaction_date", schemas.PURCHASES)
+    days = Parts(spark, tables.purchases, parts.PART, incremental.PURCHASES)
     batches = [
         [bronze_row(f"a{i}", 1.1 * i, f"2026-01-0{1 + i % 3}", f"CUST00000{i % 4}") for i in range(12)],
         [bronze_row("b1", 5.0, "2026-02-01", "CUST000001"), bronze_row("b2", 2.5, "2026-02-01", "CUST000009", "Books")],
@@ -347,7 +347,7 @@ def test_gold_after_each_batch_equals_gold_from_all_of_silver(spark, tmp_path):
 
 
 def _sales(spark, tables):
-    return Parts(spark, f"{tables.gold}/category_sales", "transaction_date", schemas.CATEGORY_SALES)
+    return Parts(spark, f"{tables.gold}/category_sales", parts.PART, incremental.SALES)
 
 
 def test_an_update_that_ended_half_way_counts_nothing_twice(spark, tmp_path, monkeypatch):

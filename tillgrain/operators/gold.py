@@ -56,7 +56,11 @@ def category_sales(silver: DataFrame) -> DataFrame:
 
 
 def sales_of(bought: DataFrame) -> DataFrame:
-    return bought.groupBy("transaction_date", "product_category").agg(
+    return sales_by(bought, "transaction_date", "product_category")
+
+
+def sales_by(bought: DataFrame, *keys: str) -> DataFrame:
+    return bought.groupBy(*keys).agg(
         _money().alias("total_sales"),
         F.sum("units").alias("total_units"),
         F.count("customer_id").alias("distinct_customers"),

@@ -400,7 +400,7 @@ def _lake_in_batches(spark: SparkSession, sf_dir: str) -> tuple[flow.Lake, str]:
         ingest.stream_silver(
             spark, tables.bronze, tables.silver, tables.quarantine, checkpoint, ids_per_bucket=20_000
         ).awaitTermination()
-        incremental.update_gold(spark, customers, tables)
+        incremental.update_gold(spark, customers, tables, buckets=8, period="month")
     return tables, customers
 
 

@@ -1,7 +1,7 @@
 """Gold kept up with Silver: what new batches bring is merged into what is stored.
 
-Two tables hold Silver added up, in parts: purchases by day, and purchases of customers by bucket. Each
-names the batches of Silver that it is made of, in the same entry that makes its new parts current, so
+Two tables hold Silver added up, in parts: purchases by day (or by month, where a day is little), and
+purchases of customers by bucket. Each names the batches of Silver that it is made of, in the same entry that makes its new parts current, so
 an update that is repeated adds nothing twice. An update reads the new batches and the parts that they
 fall into, late days included, and writes only these anew. If a batch has gone from Silver because the
 table was replaced, all is added up again.
@@ -13,6 +13,7 @@ projection over the totals, written as a whole; nothing is aggregated for custom
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillgrain import schemas
 from tillgrain.operators import gold
@@ -22,23 +23,32 @@ from tillgrain.sources import lake, parts
 from tillgrain.sources.parts import Parts
 
 DAY = "transaction_date"
+PERIODS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+PURCHASES = T.StructType([T.StructField(parts.PART, T.StringType()), *schemas.PURCHASES.fields])
+SALES = T.StructType([T.StructField(parts.PART, T.StringType()), *schemas.CATEGORY_SALES.fields])
 BUCKET = "bucket"
 BUCKETS = 64
 ENTRY = ("customer_id", "product_category")
 
 
-def update_gold(spark: SparkSession, customers: str, tables: Lake, buckets: int = BUCKETS) -> None:
-    """Bring category_sales and customer_features up to the stored Silver."""
+def update_gold(
+    spark: SparkSession, customers: str, tables: Lake, buckets: int = BUCKETS, period: str = "day"
+) -> None:
+    """Bring category_sales and customer_features up to the stored Silver.
+
+    buckets and period say how large the parts are, and stay what they were when the tables were made.
+    """
     with staging(spark):
         names = parts.batches(spark, tables.silver)
-        daily = Parts(spark, tables.purchases, DAY, schemas.PURCHASES)
+        daily = Parts(spark, tables.purchases, parts.PART, PURCHASES)
         by_customer = Parts(spark, tables.customer_purchases, BUCKET, schemas.CUSTOMER_PURCHASES)
         news = _news(spark, tables, daily.state, names)
         # After an update that ended between the two, they lack different batches.
         news_of_customers = (
             news if by_customer.state == daily.state else _news(spark, tables, by_customer.state, names)
         )
-        _add_to(daily, names, news, (DAY, *ENTRY))
+        by_period = news.withColumn(parts.PART, F.date_format(DAY, PERIODS[period]))
+        _add_to(daily, names, by_period, (parts.PART, DAY, *ENTRY))
         _add_to(by_customer, names, _by_customer(news_of_customers, buckets), (BUCKET, *ENTRY))
         _derive_sales(spark, tables, daily)
         totals = _derive_totals(spark, tables, by_customer)
@@ -67,7 +77,7 @@ def _add_to(table: Parts, names: list[str], news: DataFrame, keys: tuple[str, ..
     """Merge news into the parts they fall into."""
     if table.state == names:
         return
-    # As many values as there are days in the calendar, or buckets.
+    # As many values as there are periods in the calendar, or buckets.
     touched = sorted(str(row[0]) for row in news.select(keys[0]).distinct().collect())
     if set(table.state or []) <= set(names):
         stored, replaced = table.read(touched), touched
@@ -85,11 +95,11 @@ def _stale(made: Parts, source: Parts) -> list[str]:
 
 
 def _derive_sales(spark: SparkSession, tables: Lake, daily: Parts) -> None:
-    sales = Parts(spark, f"{tables.gold}/category_sales", DAY, schemas.CATEGORY_SALES)
+    sales = Parts(spark, f"{tables.gold}/category_sales", parts.PART, SALES)
     stale = _stale(sales, daily)
     if stale:
-        rows = gold.sales_of(daily.read(stale)).select(*schemas.CATEGORY_SALES.names)
-        sales.replace(rows.hint("rebalance", DAY), stale, daily.parts)
+        rows = gold.sales_by(daily.read(stale), parts.PART, DAY, "product_category").select(*SALES.names)
+        sales.replace(rows.hint("rebalance", parts.PART), stale, daily.parts)
 
 
 def _derive_totals(spark: SparkSession, tables: Lake, by_customer: Parts) -> Parts:

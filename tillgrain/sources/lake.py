@@ -49,7 +49,7 @@ def _stored(spark: SparkSession, path: str, without: str | None = None) -> DataF
         return found if without is None else found.where(F.col(BATCH) != without)
     if not folders:
         raise TableMissing(path)
-    return reader.parquet(*[f"{path}/{f}" for f in folders if f != f"{BATCH}={without}"]).drop(parts.PART_SET)
+    return reader.parquet(*[f"{path}/{f}" for f in folders if f != f"{BATCH}={without}"]).drop(parts.PART_SET, parts.PART)
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

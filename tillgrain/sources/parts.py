@@ -16,6 +16,7 @@ from tillgrain.sources.files import Ledger
 BATCH = "batch_id"  # the folder of a batch below a table; not a column of the table
 SET = "set-"  # how the batch that replaces all others is named; visible while it is the current one
 PART_SET = "part_set"
+PART = "part"  # a column that only says which part a row is in; not a column of the table
 
 
 class Conflict(RuntimeError):
