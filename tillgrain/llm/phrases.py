@@ -53,6 +53,7 @@ BITS_PER_PHRASE = 16
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 29
 CHUNK_BYTES = 1_000_000  # so many bytes of text are taken together; a word is at least two bytes
 HELD_HASHES = 4_000_000  # occurrences that a task adds up before it hands them on
+NAMED_ROWS = 50_000  # phrases that a task names at once
 BUCKET_BYTES = 16_000_000  # of text for each bucket of hashes
 
 CUT = b"\xff"  # no byte of UTF-8
@@ -304,6 +305,9 @@ def names_of_hashes(docs: DataFrame, max_words: int, bits, before, wanted, chunk
                     new, seen = unseen(seen, hashes, second)
                     for place, h in zip(places[new].tolist(), hashes[new].view(np.int64).tolist()):
                         rows.append((words.group, words.phrase(place, length), h, 0))
+                if len(rows) > NAMED_ROWS:
+                    yield named_batch(rows)
+                    rows = []
             yield named_batch(rows)
 
     return docs.select("text", "lang").mapInArrow(name, NAMES)
