@@ -147,16 +147,16 @@ def known(index, keys, own="stream-x-9"):
 def test_index_knows_the_ids_of_all_batches_but_the_own_one(spark, tmp_path):
     index = index_of(spark, tmp_path, ids_per_bucket=40, most_folders=3)
     assert known(index, ["a", None]) == set()
-    for i in range(9):
+    for i in range(6):
         keys = [f"k{i}-{j}" for j in range(30)] + ([None] if i == 2 else [])
         lake.write_batch(key_frame(spark, keys[:20]), str(tmp_path / "clean"), f"stream-x-{i}")
         lake.write_batch(key_frame(spark, keys[20:]), str(tmp_path / "bad"), f"stream-x-{i}")
-        if i != 5:  # a batch whose stream ended before it was done
+        if i != 3:  # a batch whose stream ended before it was done
             index.mark_done(f"stream-x-{i}")
         asked = [f"k{i}-0", f"k{i}-29", f"k{i + 1}-0", "k0-7", None]
         assert known(index, asked, f"stream-x-{i + 1}") == {f"k{i}-0", f"k{i}-29", "k0-7"} | ({None} if i > 1 else set())
-    assert index.buckets >= 8 and index.loose == ["stream-x-5"]
-    assert known(index, ["k5-3", "k6-3"], "stream-x-5") == {"k6-3"}  # what it wrote itself is not known to it
+    assert index.buckets >= 4 and index.loose == ["stream-x-3"]
+    assert known(index, ["k3-3", "k4-3"], "stream-x-3") == {"k4-3"}  # what it wrote itself is not known to it
 
 
 def test_index_is_made_anew_when_the_tables_are_replaced(spark, tmp_path):
@@ -356,7 +356,7 @@ def test_an_update_that_ended_half_way_counts_nothing_twice(spark, tmp_path, mon
     update = lambda: incremental.update_gold(spark, f"{tables.root}/customers.csv", tables, buckets=4)
     silver_batch(spark, tables, "b0", bronze_row("a", 1.0), bronze_row("b", 2.0, "2026-03-01"))
     update()
-    for i, ends_after in enumerate((1, 2, 3, 4)):
+    for i, ends_after in enumerate((1, 3)):
         silver_batch(spark, tables, f"c{i}", bronze_row(f"c{i}", 3.0), bronze_row(f"d{i}", 4.0, customer="CUST000003"))
         calls, replace = [], Parts.replace
 

@@ -56,6 +56,8 @@ def write_once(spark: SparkSession, path: str, content: Any) -> bool:
             os.link(aside.toUri().getPath(), target.toUri().getPath())
         except FileExistsError:
             return False
+        except OSError:  # a mount without links
+            return files.rename(aside, target) if not files.exists(target) else False
         return True
     finally:
         files.delete(aside, False)
