@@ -82,11 +82,8 @@ def found_by(df):
         {},
         {"sample_one_in": 40},  # proposes little: the border fails
         {"sample_one_in": 10**9},  # proposes nothing
-        {"sample_one_in": 1},
         {"max_bits": 64, "sample_one_in": 7},  # a filter that is far too small
-        {"chunk": 300},  # texts cut into many overlapping parts
-        {"chunk": 40, "sample_one_in": 40, "max_words": 4, "min_count": 4},
-        {"max_words": 2},
+        {"chunk": 40, "sample_one_in": 40, "max_words": 4, "min_count": 4},  # in many overlapping parts
         {"max_words": 1, "min_count": 3},
     ],
 )
