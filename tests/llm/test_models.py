@@ -1,12 +1,13 @@
 """Language ID, language model and secret scan."""
 
+import base64
 import hashlib
 import math
 import random
 import re
 import string
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -241,3 +242,77 @@ def test_secret_query_runs_no_python(spark):
     plan = op8_secrets(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|InPandas|InArrow", plan)
     assert secrets.digests(documents(spark, [])).count() == 0
+
+
+def slow_battery(token):
+    """p_random, p_ordinary and encoding of one candidate, straight from the definitions."""
+    kind = next(k for k, e in enumerate(secrets.ENCODINGS) if re.fullmatch(e[1].strip("^$"), token))
+    _, _, alphabet, repeats = secrets.ENCODINGS[kind]
+    codes = [alphabet.index(c) for c in token.rstrip("=")]
+    n, k = len(codes), len(alphabet)
+    seen = Counter(codes)
+    chi = sum((seen[c] - n / k) ** 2 / (n / k) for c in range(k))
+    z_chi = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+    side = [c >= k / 2 for c in codes]
+    high, runs = sum(side), 1 + sum(a != b for a, b in zip(side, side[1:]))
+    middle = 1 + 2 * high * (n - high) / n
+    z_runs = abs(runs - middle) / math.sqrt(max(1e-9, (middle - 1) * (middle - 2) / (n - 1)))
+    mean = sum(codes) / n
+    spread = sum((c - mean) ** 2 for c in codes)
+    serial = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:])) / spread if spread else 1.0
+    z_serial = abs(serial + 1 / n) * math.sqrt(n)
+
+    def tail(z):
+        z = max(-8.0, min(15.0, z))
+        return 1 / (1 + math.exp(1.5976 * z + 0.07056 * z**3))
+
+    pairs = sum(v * (v - 1) / 2 for v in seen.values())
+    expected = n * (n - 1) / 2 * repeats
+    ordinary = tail((expected - pairs) / math.sqrt(expected))
+    return min(1.0, 3 * min(tail(z_chi), 2 * tail(z_runs), 2 * tail(z_serial))), ordinary, kind
+
+
+def test_battery_and_cut_offs_equal_an_independent_computation(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(21)
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", string.ascii_letters + string.digits, string.ascii_letters + "+/9"]
+    tokens = [random_token(rng, alphabets[i % 4], rng.randint(20, 300)) for i in range(80)]
+    tokens += ["a1" * 15, "abc_def-1" * 4, "7" * 19 + "a", random_token(rng, string.ascii_letters, 40) + "=="]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(tokens)], "i int, token string")
+    one = F.array(F.struct(F.lit(0).alias("start"), F.length("token").alias("end"), "token"))
+    measured = df.select("i", secrets.battery(one).alias("r"))
+    bins = defaultdict(Counter)
+    for row in measured.collect():
+        p, ordinary, kind = slow_battery(tokens[row.i])
+        (got,) = row.r
+        assert got.p_random == pytest.approx(p, rel=1e-6, abs=1e-12)
+        assert got["class"] // secrets.LENGTH_CLASSES == kind
+        assert got.bin == min(secrets.P_BINS - 1, math.floor(-10 * math.log10(ordinary)))
+        bins[got["class"]][got.bin] += 1
+    wanted = {}
+    for kind, seen in bins.items():
+        good = [b for b in seen if 10 ** (-b / 10) * sum(seen.values()) <= secrets.FALSE_SHARE * sum(n for c, n in seen.items() if c >= b)]
+        if good:
+            wanted[kind] = min(good)
+    assert secrets.cut_offs(measured, "r") == wanted
+
+
+def test_long_runs_many_matches_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(22)
+    image = base64.b64encode(rng.randbytes(450_000)).decode()
+    many = " ".join(("password=" if i % 3 else "") + rng.randbytes(12).hex() for i in range(6000))
+    texts = [f"data:{image} end", many]
+    df = documents(spark, texts).withColumns({c: F.lit(c) for c in ("_base", "_text", "_runs", "__runs")})
+    found = secrets.scan_secrets(df)
+    assert found.columns == [*df.columns, "spans"]
+    for r in found.withColumn("masked", secrets.redact(F.col("text"), F.col("spans"))).collect():
+        assert tuple(r[c] for c in ("_base", "_text", "_runs", "__runs")) == ("_base", "_text", "_runs", "__runs")
+        base = [(a, k, b) for a, k, b, _ in slow_base(texts[r.doc_id])]
+        assert [tuple(s[x] for x in ("start", "kind", "end")) for s in r.spans if s.kind < 3] == base
+        if r.doc_id == 0:
+            assert [(s.start, s.end) for s in r.spans if s.kind == 3] in ([], [(5, 5 + len(image))])
+        else:
+            assert re.fullmatch(r"(\[secret\] ?)+", r.masked)

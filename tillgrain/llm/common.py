@@ -77,6 +77,17 @@ def append_columns(
     return read.mapInArrow(run, schema)
 
 
+def unused_names(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column has, in any case of letters."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def by_crc(column, divisor: int):
     """Remainder of the CRC-32 of an id as text, the rule that holds rows out; null ids give null."""
     return F.crc32(column.cast("string").cast("binary")) % divisor

@@ -24,12 +24,14 @@ table whose size does not depend on the input.
 
 Defined results: null and empty texts have no spans; spans are in code points, the end exclusive;
 spans of one start are in the order of the kinds; base spans of different kinds may overlap; repeated
-rows are answered one by one, each counting in its class; output columns replace columns of the name.
+rows are answered one by one, each counting in its class; an empty table gives no rows; a column spans
+is replaced by the result, any other column stays, whatever its name.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillgrain.llm.common import unused_names
 from tillgrain.session import stage
 
 # The patterns of the contract, with letters in either case spelled out. The shortest
@@ -66,39 +68,96 @@ P_BINS = 200  # tenths of -log10(p)
 
 
 SPAN_ARRAY = "array<struct<start:int,kind:int,end:int>>"
+TOKEN_ARRAY = "array<struct<start:int,kind:int,end:int,token:string>>"
+NOWHERE = 2**31 - 1  # behind every text
+BLOCK = 64  # elements of an array that are walked with a growing list; see running()
 
 
-def spans(text: Column, pattern: str, kind: int, group_min: int = 0) -> Column:
-    """(start, kind, end) of all matches, those whose second group is shorter left out."""
+def _with(value: Column, use) -> Column:
+    """use(value), where the value is computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _blocks(values: Column) -> Column:
+    def cut(values: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(BLOCK))
+        return F.transform(firsts, lambda i: F.slice(values, i, F.lit(BLOCK)))
+
+    return _with(values, cut)
+
+
+def running(values: Column, combine, zero: int, levels: int = 2) -> Column:
+    """For every integer of an array, all before it combined.
+
+    A list that grows by one element is copied at each step, so only blocks of BLOCK elements are walked
+    this way, and likewise the blocks' own totals: the time is linear up to BLOCK ** (levels + 1) elements
+    and grows slowly beyond.
+    """
+
+    def walk(block: Column, start: Column) -> Column:
+        none = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def add(acc: Column, v: Column) -> Column:
+            out = F.concat(acc["out"], F.array(acc["at"]))
+            return F.struct(combine(acc["at"], v).alias("at"), out.alias("out"))
+
+        return F.aggregate(block, none, add, lambda acc: acc["out"])
+
+    if not levels:
+        return walk(values, F.lit(zero))
+
+    def over(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(zero), lambda x, y: combine(x, y)))
+        return F.flatten(F.zip_with(blocks, running(totals, combine, zero, levels - 1), walk))
+
+    return _with(_blocks(values), over)
+
+
+def spans(text: Column, pattern: str, kind: int, group_min: int = 0, tokens: bool = False) -> Column:
+    """(start, kind, end) of all matches, those whose second group is shorter left out.
+
+    With tokens the matches themselves stand in a fourth field.
+    """
 
     def all_of(group: int) -> Column:
         return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
-    sizes = F.transform(
-        all_of(0), lambda m: F.struct(F.length(m).alias("size"), F.lit(True).alias("ok"))
+    # One more piece than matches: the last one comes with a null match.
+    steps = F.zip_with(
+        F.split(text, pattern, -1),
+        all_of(0),
+        lambda p, m: F.struct(
+            F.length(p).alias("gap"),
+            F.coalesce(F.length(m), F.lit(0)).alias("size"),
+            m.alias("token"),
+            m.isNotNull().alias("ok"),
+        ),
     )
     if group_min:
-        sizes = F.zip_with(
-            all_of(0),
+        steps = F.zip_with(
+            steps,
             all_of(2),
-            lambda m, g: F.struct(F.length(m).alias("size"), (F.length(g) >= group_min).alias("ok")),
+            lambda s, g: F.struct(
+                s["gap"].alias("gap"),
+                s["size"].alias("size"),
+                s["token"].alias("token"),
+                F.coalesce(F.length(g) >= group_min, F.lit(False)).alias("ok"),
+            ),
         )
-    # One more piece than matches: the last one comes with a null match.
-    steps = F.zip_with(
-        F.split(text, pattern, -1), sizes, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m"))
-    )
 
-    def add(acc: Column, step: Column) -> Column:
-        start = acc["at"] + step["gap"]
-        end = start + F.coalesce(step["m"]["size"], F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        out = F.when(step["m"]["ok"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+    def placed(step: Column, before: Column) -> Column:
+        start = before + step["gap"]
+        fields = [start.alias("start"), F.lit(kind).alias("kind"), (start + step["size"]).alias("end")]
+        return F.struct(*fields, *([step["token"].alias("token")] if tokens else []), step["ok"].alias("ok"))
+
+    def found(steps: Column) -> Column:
+        before = running(F.transform(steps, lambda s: s["gap"] + s["size"]), lambda a, b: a + b, 0)
+        return F.filter(F.zip_with(steps, before, placed), lambda s: s["ok"])
 
-    none = F.array().cast(SPAN_ARRAY)
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    found = F.aggregate(steps, start, add, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), found).otherwise(none)
+    fields = ("start", "kind", "end", "token") if tokens else ("start", "kind", "end")
+    bare = F.transform(_with(steps, found), lambda s: F.struct(*(s[f].alias(f) for f in fields)))
+    none = F.array().cast(TOKEN_ARRAY if tokens else SPAN_ARRAY)
+    return F.when(text.rlike(pattern), bare).otherwise(none)
 
 
 def upper_tail(z: Column) -> Column:
@@ -113,9 +172,9 @@ def _pick(index: Column, values: list) -> Column:
 
 def battery(tokens: Column) -> Column:
     """Structs with start, end and token, to structs with p_random, p_ordinary, class and bin."""
+    # One split: a substring by its place would be sought from the start of the string each time.
     symbols = lambda x: F.transform(
-        F.sequence(F.lit(1), F.length(x["body"])),
-        lambda i: F.position(F.substr(x["body"], i, F.lit(1)), x["alphabet"]) - 1,
+        F.split(x["body"], ""), lambda c: F.position(c, x["alphabet"]) - 1
     )
 
     def inferred(x: Column) -> Column:
@@ -147,7 +206,7 @@ def battery(tokens: Column) -> Column:
             lambda i: F.length(x["body"])
             - F.length(F.replace(x["body"], F.substr(x["alphabet"], i, F.lit(1)), F.lit(""))),
         )
-        pairs = F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * (c - 1) / 2)
+        pairs = F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c.cast("double") * (c - 1) / 2)
         return F.struct(
             *(x[c].alias(c) for c in ("start", "end", "encoding", "n", "k")),
             symbols(x).alias("codes"),
@@ -165,25 +224,35 @@ def battery(tokens: Column) -> Column:
         )
 
     def with_neighbours(x: Column) -> Column:
-        pairs = F.zip_with(
-            F.slice(x["codes"], F.lit(1), F.size(x["codes"]) - 1),
-            F.slice(x["codes"], F.lit(2), F.size(x["codes"]) - 1),
-            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
-        )
         above = lambda c: c >= x["k"] / 2
-        changes = F.aggregate(
-            pairs, F.lit(1.0), lambda acc, p: acc + F.when(above(p["a"]) != above(p["b"]), 1.0).otherwise(0.0)
-        )
-        cross = F.aggregate(
-            pairs, F.lit(0.0), lambda acc, p: acc + (p["a"] - x["mean"]) * (p["b"] - x["mean"])
+        zero = F.lit(0.0)
+        first = F.struct(
+            F.lit(None).cast("int").alias("last"), zero.alias("changes"), zero.alias("cross"), zero.alias("spread")
         )
-        spread = F.aggregate(
-            x["codes"], F.lit(0.0), lambda acc, c: acc + (c - x["mean"]) * (c - x["mean"])
+
+        def add(acc: Column, c: Column) -> Column:
+            last, off = acc["last"], c - x["mean"]
+            changed = F.when(above(last) != above(c), 1.0).otherwise(0.0)
+            cross = F.coalesce((last - x["mean"]) * off, zero)
+            return F.struct(
+                c.cast("int").alias("last"),
+                (acc["changes"] + changed).alias("changes"),
+                (acc["cross"] + cross).alias("cross"),
+                (acc["spread"] + off * off).alias("spread"),
+            )
+
+        walked = F.aggregate(x["codes"], first, add)
+        return F.struct(
+            *(x[c].alias(c) for c in ("start", "end", "encoding", "n", "k", "pairs", "high")),
+            walked.alias("walked"),
         )
+
+    def with_serial(x: Column) -> Column:
+        walked = x["walked"]
         return F.struct(
             *(x[c].alias(c) for c in ("start", "end", "encoding", "n", "k", "pairs", "high")),
-            changes.alias("runs"),
-            F.when(spread > 0, cross / spread).otherwise(1.0).alias("serial"),
+            (walked["changes"] + 1).alias("runs"),
+            F.when(walked["spread"] > 0, walked["cross"] / walked["spread"]).otherwise(1.0).alias("serial"),
         )
 
     def with_p(x: Column) -> Column:
@@ -210,19 +279,19 @@ def battery(tokens: Column) -> Column:
 
     fits = lambda x: x["encoding"].isNotNull() & (F.length(x["body"]) >= CANDIDATE_MIN)
     tokens = F.filter(F.transform(tokens, inferred), fits)
-    for step in (with_alphabet, with_codes, with_sums, with_neighbours, with_p):
+    for step in (with_alphabet, with_codes, with_sums, with_neighbours, with_serial, with_p):
         tokens = F.transform(tokens, step)
     return tokens
 
 
-def cut_offs(measured: DataFrame) -> dict[int, int]:
+def cut_offs(measured: DataFrame, runs: str) -> dict[int, int]:
     """For each class the smallest bin of p-values that the step-up rule still calls secret.
 
     A bin holds p-values up to 10 ** (-bin / 10), the bound with which it is judged.
     """
     bins = (
-        measured.where(F.size("_runs") > 0)
-        .select(F.explode("_runs").alias("r"))
+        measured.where(F.size(runs) > 0)
+        .select(F.explode(runs).alias("r"))
         .groupBy(F.col("r.class").alias("class"), F.col("r.bin").alias("bin"))
         .count()
     )
@@ -243,22 +312,90 @@ def cut_offs(measured: DataFrame) -> dict[int, int]:
 def united(found: Column) -> Column:
     """Spans of one kind, by start, those that overlap as one."""
 
-    def add(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        longer = F.struct(
-            last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end")
+    def heads(spans: Column) -> Column:
+        """Spans that begin behind all before them, with where these end."""
+        before = running(F.transform(spans, lambda s: s["end"]), F.greatest, 0)
+        marked = F.zip_with(
+            spans, before, lambda s, e: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), e.alias("before"))
         )
-        joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(longer))
-        return F.when(F.size(acc) == 0, F.array(s)).when(s["start"] < last["end"], joined).otherwise(
-            F.concat(acc, F.array(s))
+        return F.filter(marked, lambda s: s["start"] >= s["before"])
+
+    def joined(spans: Column) -> Column:
+        def closed(heads: Column) -> Column:
+            ends = F.transform(F.slice(heads, F.lit(2), F.size(heads)), lambda h: h["before"])
+            last = F.array(F.array_max(F.transform(spans, lambda s: s["end"])))
+            return F.zip_with(
+                heads,
+                F.concat(ends, last),
+                lambda h, e: F.struct(h["start"].alias("start"), h["kind"].alias("kind"), e.alias("end")),
+            )
+
+        return _with(heads(spans), closed)
+
+    return _with(
+        F.sort_array(found),
+        lambda spans: F.when(F.size(spans) > 0, joined(spans)).otherwise(F.array().cast(SPAN_ARRAY)),
+    )
+
+
+def distinct_sorted(values: Column) -> Column:
+    """The different elements of an array in order, by comparing neighbours."""
+
+    def fresh(ordered: Column) -> Column:
+        pairs = F.zip_with(
+            ordered,
+            F.slice(ordered, F.lit(2), F.size(ordered)),
+            lambda a, b: F.struct(a.alias("a"), (b.isNull() | (a != b)).alias("last")),
         )
+        return F.transform(F.filter(pairs, lambda p: p["last"]), lambda p: p["a"])
+
+    return _with(F.sort_array(values), lambda v: F.when(F.size(v) > 1, fresh(v)).otherwise(v))
+
 
-    return F.aggregate(F.sort_array(found), F.array().cast(SPAN_ARRAY), add)
+def clear_of(base: Column, runs: Column) -> Column:
+    """Runs that overlap no base span: none before reaches over the start, none after starts inside."""
+
+    def both(runs: Column) -> Column:
+        fixed = F.transform(
+            base,
+            lambda b: F.struct(
+                b["start"].alias("start"),
+                F.lit(-1).alias("kind"),
+                b["end"].alias("end"),
+                F.lit(None).cast("string").alias("token"),
+            ),
+        )
+        return F.sort_array(F.concat(fixed, runs))
+
+    def free(ordered: Column) -> Column:
+        is_base = lambda s: s["kind"] < 0
+        ends = F.transform(ordered, lambda s: F.when(is_base(s), s["end"]).otherwise(0))
+        starts = F.transform(F.reverse(ordered), lambda s: F.when(is_base(s), s["start"]).otherwise(NOWHERE))
+        around = F.zip_with(
+            running(ends, F.greatest, 0),
+            F.reverse(running(starts, F.least, NOWHERE)),
+            lambda a, b: F.struct(a.alias("before"), b.alias("after")),
+        )
+        checked = F.zip_with(
+            ordered,
+            around,
+            lambda s, o: F.struct(
+                s.alias("span"),
+                (~is_base(s) & (o["before"] <= s["start"]) & (o["after"] >= s["end"])).alias("ok"),
+            ),
+        )
+        return F.transform(F.filter(checked, lambda c: c["ok"]), lambda c: c["span"])
+
+    def some(runs: Column) -> Column:
+        return F.when((F.size(base) > 0) & (F.size(runs) > 0), _with(both(runs), free)).otherwise(runs)
+
+    return _with(runs, some)
 
 
 def scan_secrets(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Adds spans, an array of (start, kind, end), to the kept columns of docs(text)."""
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != "spans"]
+    text_name, base_name, runs_name = unused_names(kept, "text", "base", "runs")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = F.concat(
         *(
@@ -266,34 +403,24 @@ def scan_secrets(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             for kind, (name, pattern) in enumerate(KINDS.items())
         )
     )
-    read = docs.select(*kept, text.alias("_text"), base.alias("_base"))
-    runs = F.filter(
-        F.array_union(*(spans(F.col("_text"), pattern, len(KINDS)) for pattern in CANDIDATES)),
-        lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    tokens = F.transform(
-        runs,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            F.substr(F.col("_text"), s["start"] + 1, s["end"] - s["start"]).alias("token"),
-        ),
-    )
-    mixed = F.filter(tokens, lambda x: x["token"].rlike("[0-9]") & x["token"].rlike("[A-Za-z]"))
-    measured = read.withColumn("_runs", battery(mixed)).drop("_text")
+    read = docs.select(*kept, text.alias(text_name), base.alias(base_name))
+    pieces = F.concat(*(spans(F.col(text_name), pattern, len(KINDS), tokens=True) for pattern in CANDIDATES))
+    mixed = F.filter(pieces, lambda x: x["token"].rlike("[0-9]") & x["token"].rlike("[A-Za-z]"))
+    tokens = _with(F.col(base_name), lambda b: clear_of(b, distinct_sorted(mixed)))
+    measured = read.withColumn(runs_name, battery(tokens)).drop(text_name)
     measured = stage(measured, "secrets-measured")
-    cuts = cut_offs(measured)
+    cuts = cut_offs(measured, runs_name)
     cut = F.array(*(F.lit(cuts.get(k, P_BINS)) for k in range(len(ENCODINGS) * LENGTH_CLASSES)))
     random = F.transform(
         F.filter(
-            "_runs",
+            runs_name,
             lambda r: (r["p_random"] >= UNIFORM_LEVEL) & (r["bin"] >= F.element_at(cut, r["class"] + 1)),
         ),
         lambda r: F.struct(
             r["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), r["end"].alias("end")
         ),
     )
-    return measured.select(*kept, F.sort_array(F.concat("_base", united(random))).alias("spans"))
+    return measured.select(*kept, F.sort_array(F.concat(base_name, united(random))).alias("spans"))
 
 
 def listed(found: Column) -> Column:
@@ -310,15 +437,38 @@ def listed(found: Column) -> Column:
 def redact(text: Column, found: Column, mark: str = "[secret]") -> Column:
     """The text with every span, or run of overlapping spans, replaced by a mark."""
 
-    def add(acc: Column, s: Column) -> Column:
-        gap = F.substr(text, acc["at"] + 1, F.greatest(F.lit(0), s["start"] - acc["at"]))
-        new = F.when(s["start"] < acc["at"], F.lit("")).otherwise(F.concat(gap, F.lit(mark)))
-        at = F.greatest(acc["at"], s["end"])
-        return F.struct(at.alias("at"), F.concat(acc["out"], new).alias("out"))
+    # Blocks of spans cut their part out of the text, spans cut theirs out of their block's.
+    size = F.length(text)
+
+    def marked(spans: Column, ends: Column) -> Column:
+        pieces = F.zip_with(
+            spans, ends, lambda s, e: F.struct(e.alias("at"), s["start"].alias("start"), F.greatest(e, s["end"]).alias("to"))
+        )
+
+        def cut(block: Column) -> Column:
+            low = F.element_at(block, 1)["at"]
+
+            def inside(part: Column) -> Column:
+                return F.array_join(
+                    F.transform(
+                        block,
+                        lambda p: F.when(p["start"] < p["at"], F.lit("")).otherwise(
+                            F.concat(F.substr(part, p["at"] - low + 1, p["start"] - p["at"]), F.lit(mark))
+                        ),
+                    ),
+                    "",
+                )
+
+            return _with(F.substr(text, low + 1, F.element_at(block, -1)["to"] - low), inside)
+
+        return F.array_join(F.transform(_blocks(pieces), cut), "")
+
+    def masked(spans: Column) -> Column:
+        ends = F.transform(spans, lambda s: s["end"])
+        rest = F.substr(text, F.array_max(ends) + 1, size)
+        return F.concat(marked(spans, running(ends, F.greatest, 0)), rest)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(found) > 0, F.aggregate(found, start, add, rest)).otherwise(text)
+    return F.when(F.size(found) > 0, _with(found, masked)).otherwise(text)
 
 
 def digests(docs: DataFrame) -> DataFrame:
