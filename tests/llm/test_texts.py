@@ -169,6 +169,15 @@ def test_edits_at_both_ends_and_unequal_copies_are_found():
         assert all(a[2] <= b[1] for a, b in zip(got, got[1:]))
 
 
+def test_edits_count_characters_beyond_ascii_as_one(spark):
+    texts = ["É É licénsed under the apáche license version 2 0 日本", "licénséd ündér thé apáché lícénsé vérsíon 2 0", None]
+    found = by_id(licenses.scan_licenses(documents(spark, texts)))
+    (match,) = found[0].matches
+    assert (match.label, match.edits, texts[0][match.start : match.end]) == ("apache", 2, texts[0][4:-3])
+    assert found[1].labels == found[2].labels == ""
+    assert licenses.scan_licenses(documents(spark, [])).count() == 0
+
+
 def test_clean_prose_has_no_license(spark):
     found = by_id(licenses.scan_licenses(documents(spark, [prose(i, 500) for i in range(20)])))
     assert all(r.labels == "" for r in found.values())

@@ -156,11 +156,11 @@ def scan_licenses(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
     def make():
         scanner = Scanner()
-        phrases = {p.encode().decode("latin-1"): label for p, label in PHRASES.items()}
+        phrases = PHRASES
 
         def scan(text: bytes | None) -> dict:
             words = folded_words(text)
-            folded = (b" " + b" ".join(words) + b" ").decode("latin-1")
+            folded = (b" " + b" ".join(words) + b" ").decode()
             base = [(at, p) for p in phrases for at in phrase_places(folded, p)]
             fuzzy = scanner.matches(folded)
             row = dict.fromkeys(RESULT.names) | {"n_words": len(words), "n_base": len(base)}
@@ -172,7 +172,8 @@ def scan_licenses(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             row["matches"] = []
             if not labels:
                 return row
-            starts = (np.cumsum([len(w) + 1 for w in words]) - [len(w) for w in words]).tolist()
+            sizes = [len(w) for w in folded[1:-1].split(" ")]
+            starts = (np.cumsum([n + 1 for n in sizes]) - sizes).tolist()
             if base:
                 places = [bisect.bisect_left(starts, at) for at, _ in base]
                 row["first_word"], row["last_word"] = min(places), max(places)
