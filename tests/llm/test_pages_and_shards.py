@@ -32,6 +32,46 @@ def test_article_without_what_surrounds_it(spark):
     assert found[4] == "open it" and found[5] == "x" and found[6] == "deep"
 
 
+def test_names_are_noise_as_a_whole_only():
+    kept = "with-sidebar page-no-comments share-price advert-law related-work entry-header market-share has-menu no-ad adventure".split()
+    gone = "ad sidebar site-footer main-nav cookie-notice comment-list share-buttons related-posts menu-item-12 article-sidebar left_sidebar".split()
+    assert [n for n in kept if html.is_noise_name(n)] == [] and [n for n in gone if not html.is_noise_name(n)] == []
+    wrapped = "<div class='layout sidebar'><div id=page-no-comments><main><p class=share-price>A</p><h2 id=comments>B</h2></main></div></div>"
+    assert html.Page(wrapped).main_text() == "A\n\nB"
+    page = "<div class=sidebar>no<p>no</div><section id=related-work>C <span class=share-buttons>x</span>D</section><div class=comment-list><article>E</article></div>"
+    assert html.Page(page).main_text() == "C D"
+
+
+def test_unclosed_tags_take_linear_time_and_room(spark):
+    import time
+
+    def seconds(source):
+        start = time.perf_counter()
+        page = html.Page(source)
+        nodes, text = list(page.nodes()), page.main_text(frozenset((1,)))
+        return time.perf_counter() - start, len(nodes), text
+
+    for tags in ("<div>a", "<li>a", "<span>a", "</b><div>a", "<div class=menu>a<main>b"):
+        n = 200_000 // len(tags)
+        seconds(tags * 100)
+        took, nodes, text = seconds(tags * n)
+        assert took < 20 and nodes <= 2 * n and len(text) >= n
+    pages = [(i, "http://h.example", "<div>a" * 3000 + str(i)) for i in range(4)]
+    assert texts_of(spark, pages)[0].endswith("a0")
+
+
+def test_no_pages_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    schema = "page_id long, url string, html string"
+    assert html.extract(spark.createDataFrame([], schema), ["page_id"]).count() == 0
+    names = ["_low", "_host", "_salt", "salt", "_paths", "host", "paths"]
+    pages = spark.createDataFrame([(i, "http://h.example", templated(i, 0)) for i in range(9)], schema)
+    found = html.extract(pages.withColumns({c: F.lit(c) for c in names}), ["page_id", *names])
+    for r in found.collect():
+        assert [r[c] for c in names] == names and r.text == f"{prose(r.page_id, 30)}\n\n{prose(r.page_id + 500, 20)}"
+
+
 def templated(i, host):
     return (
         f"<html><body><div id=top>Welcome to our site</div><div id=body><p>{prose(i, 30)}</p>"
