@@ -75,15 +75,22 @@ def write_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> N
         append_table(df, path, fmt)
 
 
+def read_batch(df: DataFrame, path: str, batch: str) -> DataFrame:
+    """The rows of df, as a batch of a parquet table has them."""
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{BATCH}={batch}")
+
+
 def other_batches(spark: SparkSession, path: str, batch: str, schema: T.StructType) -> DataFrame:
     """Rows of a parquet table but those of one batch; no rows if there is no table yet."""
+    # Rows whose number the planner knows, so that a join with none of them exchanges nothing.
+    none = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     try:
         return _stored(spark, path, without=batch).select(*schema.names)
     except TableMissing:
-        return spark.createDataFrame([], schema)
+        return none
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return spark.createDataFrame([], schema)
+            return none
         raise
 
 
