@@ -4,11 +4,12 @@ import os
 import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillgrain import schemas
-from tillgrain.operators import gold, silver
+from tillgrain.operators import bronze, gold, silver
 from tillgrain.plans import flow, incremental
-from tillgrain.sources import files, lake, parts
+from tillgrain.sources import files, id_index, lake, parts
 from tillgrain.sources.files import Ledger
 from tillgrain.sources.id_index import IdIndex
 from tillgrain.sources.parts import Conflict, Parts
@@ -209,6 +210,52 @@ def test_filters_keep_a_new_batch_from_reading_ids(spark, tmp_path):
     assert index.folders_with(key_frame(spark, ["77"]), "stream-x-1") != []
 
 
+def test_ids_without_room_do_not_go_through_too_few_buckets(spark, tmp_path, monkeypatch):
+    index = index_of(spark, tmp_path, ids_per_bucket=100)
+    index.refresh("stream-x-0")  # made of no ids, so one bucket is enough
+    assert index.buckets == 1
+    lake.write_batch(spark.range(5_000).selectExpr("string(id) AS transaction_id"), str(tmp_path / "clean"), "stream-x-0")
+    index.mark_done("stream-x-0")
+    added = []
+    monkeypatch.setattr(IdIndex, "add", lambda self, batch, ids: added.append((batch, self.buckets)))
+    assert known(index, ["77", "new"]) == {"77"}
+    assert added == [] and index.buckets >= 100
+
+
+def test_many_small_buckets_share_few_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(id_index, "LEAST_FOLDERS", 4)
+    monkeypatch.setattr(id_index, "IDS_PER_FOLDER", 2_000)
+    index = index_of(spark, tmp_path, ids_per_bucket=50)
+    rows = spark.range(10_000).selectExpr("nullif(string(id), '5') AS transaction_id")
+    lake.write_batch(rows, str(tmp_path / "clean"), "stream-x-0")
+    index.mark_done("stream-x-0")
+    assert known(index, ["77", None, "5", "new"]) == {"77", None}  # in a few cells, named one by one
+    folders = [n for n in os.listdir(index.root.removeprefix("file:") + "/ids") if n.startswith("bucket=")]
+    assert len(folders) <= 16 and index.cells * 50 >= 2 * 10_000
+    asked = [str(i) for i in range(9_000, 11_000)]
+    assert known(index, asked) == set(asked[:1_000])
+    lake.write_batch(key_frame(spark, asked[1_000:]), str(tmp_path / "clean"), "stream-x-1")
+    index.mark_done("stream-x-1")
+    assert known(index, [*asked, "12000"]) == set(asked)
+
+
+def test_a_batch_is_read_once_when_it_is_stored(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def file_of(key):
+        read.add(1)
+        return f"file-{key[-1]}"
+
+    batch = spark.range(40).select(F.col("id").cast("string").alias("k")).withColumn("_source_file", file_of("k"))
+    bronze.store_batch(batch, str(tmp_path / "t"), "b")
+    assert read.value == 40
+    assert spark.read.parquet(lake.manifest_path(str(tmp_path / "t"))).count() == 10
+    none = lake.other_batches(spark, str(tmp_path / "missing"), "", lake.MANIFEST)
+    joined = batch.join(none, F.col("_source_file") == F.col("file"), "left_anti")
+    assert "SortMergeJoin" not in joined._jdf.queryExecution().toString()
+
+
 # ---- streams
 
 

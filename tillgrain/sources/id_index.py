@@ -6,6 +6,10 @@ filters, and reads the ids of just those folders whose filter holds one of its o
 about the same size: when there are too many ids for them, or too many folders, all is written anew into
 more buckets, as one folder each. So what a batch reads depends on its own size, not on the history's.
 
+Where that would make very many small buckets, a bucket consists of several cells, which lie one after the
+other in its files, each with a filter of its own: the number of folders grows with IDS_PER_FOLDER, and a
+small batch reads of a folder only the pages of its cells.
+
 The index is made of the tables and can be made again: batches of the tables that it lacks are added to
 it, and if a batch that it holds has gone, for the tables were replaced, it is made anew. A batch that
 is still being written by somebody else is not indexed; its ids are read from the tables.
@@ -25,6 +29,9 @@ IDS_PER_BUCKET = 1_000_000
 MOST_FOLDERS = 64  # of a bucket, before it is written anew
 IDS_PER_WORD = 4  # of a filter; a word has 64 bits, and an id sets up to four of them
 BITS_OF_AN_ID = 4
+LEAST_FOLDERS = 256  # that buckets may have whatever their size
+IDS_PER_FOLDER = 250_000
+MOST_PICKED = 64  # cells that a look-up names one by one
 BASE = "base"
 
 
@@ -63,28 +70,34 @@ class IdIndex:
         written = {n for n in visible if n in done or not n.startswith(self.unsure)}
         self.loose = sorted(visible - written)
         number, generation = self.ledger.latest()
-        if generation is not None:
+        if generation is not None and "cells" in generation:  # others have files of another form
             self._use(generation)
             added = set(files.names(self.spark, self._covered()))
             held = added | set(generation["base"])
             if held <= written and len(added) < self.most_folders:
-                for name in sorted(written - held):
-                    self.add(name, self._ids_of([name]))
+                lacking = {name: self._ids_of([name]) for name in sorted(written - held)}
                 n_ids = generation["n_ids"] + sum(
-                    files.read(self.spark, f"{self._covered()}/{n}") for n in files.names(self.spark, self._covered())
+                    [files.read(self.spark, f"{self._covered()}/{n}") for n in added]
+                    + [ids.count() for ids in lacking.values()]
                 )
-                if n_ids <= self.buckets * self.ids_per_bucket:
+                # Known before any is added: ids without room would all go through too few buckets.
+                if n_ids <= self.cells * self.ids_per_bucket:
+                    for name, ids in lacking.items():
+                        self.add(name, ids)
                     return
         self._rebuild(number, written)
 
     def _rebuild(self, number: int, written: set[str]) -> None:
         ids = stage(self._ids_of(sorted(written)), "ids")
-        n_ids, buckets = ids.count(), 1
-        while buckets * self.ids_per_bucket < 2 * n_ids:
-            buckets *= 2
+        n_ids, cells, folders = ids.count(), 1, LEAST_FOLDERS
+        while cells * self.ids_per_bucket < 2 * n_ids:
+            cells *= 2
+        while folders * IDS_PER_FOLDER < 2 * n_ids:
+            folders *= 2
         generation = {
             "name": uuid.uuid4().hex,
-            "buckets": buckets,
+            "cells": cells,
+            "buckets": min(cells, folders),
             "words": max(1, self.ids_per_bucket // IDS_PER_WORD),
             "base": sorted(written),
             "n_ids": n_ids,
@@ -99,7 +112,7 @@ class IdIndex:
 
     def _use(self, generation: dict) -> None:
         self.root = f"{self.path}/{generation['name']}"
-        self.buckets, self.words = generation["buckets"], generation["words"]
+        self.cells, self.buckets, self.words = (generation[k] for k in ("cells", "buckets", "words"))
 
     def _covered(self) -> str:
         return f"{self.root}/_covered"
@@ -117,8 +130,11 @@ class IdIndex:
 
     # ---- buckets and filters -------------------------------------------------------------------
 
+    def _cell(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.cells)).cast("int")
+
     def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        return F.floor(self._cell() / F.lit(self.cells // self.buckets)).cast("int")
 
     def _word(self) -> Column:
         return F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(self.words)).cast("int")
@@ -137,18 +153,20 @@ class IdIndex:
         files.write_once(self.spark, f"{self._covered()}/{batch}", ids.count())
 
     def _write(self, batch: str, ids: DataFrame) -> None:
-        dealt = ids.select(self.key, self._bucket().alias("bucket"), F.lit(batch).alias("batch"))
-        words = dealt.groupBy("bucket", "batch", self._word().alias("word")).agg(
+        dealt = ids.select(
+            self.key, self._bucket().alias("bucket"), F.lit(batch).alias("batch"), self._cell().alias("cell")
+        )
+        words = dealt.groupBy("bucket", "batch", "cell", self._word().alias("word")).agg(
             F.bit_or(self._mask()).alias("mask")
         )
-        for kind, rows in (("ids", dealt.select("bucket", "batch", self.key)), ("filters", words)):
-            # One task for each bucket, so that a bucket's folder has one file.
-            writer = rows.repartition("bucket").sortWithinPartitions("bucket").write.mode("overwrite")
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+        for kind, rows in (("ids", dealt.select("bucket", "batch", "cell", self.key)), ("filters", words)):
+            # Rebalanced by bucket: few files in a folder, and no task with more than its share.
+            placed = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "batch", "cell")
+            writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy("bucket", "batch").parquet(f"{self.root}/{kind}")
 
     def _read(self, kind: str, buckets: list[int]) -> DataFrame:
-        schema = {"ids": f"{self.key} string", "filters": "word int, mask long"}[kind]
+        schema = {"ids": f"cell int, {self.key} string", "filters": "cell int, word int, mask long"}[kind]
         held = set(files.names(self.spark, f"{self.root}/{kind}"))
         folders = [f"{self.root}/{kind}/bucket={b}" for b in buckets if f"bucket={b}" in held]
         schema = f"{schema}, bucket int, batch string"
@@ -158,17 +176,27 @@ class IdIndex:
 
     # ---- looking up ----------------------------------------------------------------------------
 
+    def _picked(self, ids: DataFrame) -> Column:
+        """Whether a row of the index is in a cell of the ids, if these are in a few cells of large buckets."""
+        if self.cells == self.buckets:
+            return F.lit(True)
+        cells = ids.select(self._cell()).distinct().limit(MOST_PICKED + 1).collect()
+        # Not isin: of more than ten values that would look for those between the least and the largest.
+        return F.lit(True) if len(cells) > MOST_PICKED else reduce(
+            Column.__or__, [F.col("cell") == r[0] for r in cells], F.lit(False)
+        )
+
     def folders_with(self, ids: DataFrame, own: str) -> list[tuple[int, str]]:
         """(bucket, batch) of the folders that may hold some of the ids, by their filters.
 
         Brings as many rows as there are folders in the buckets of the ids, at most.
         """
+        touched = [r["bucket"] for r in ids.select(self._bucket().alias("bucket")).distinct().collect()]
+        filters = self._read("filters", sorted(touched)).where(F.col("batch") != own)
         probes = ids.select(
-            self._bucket().alias("bucket"), self._word().alias("word"), self._mask().alias("bits")
+            self._cell().alias("cell"), self._word().alias("word"), self._mask().alias("bits")
         ).distinct()
-        touched = [r["bucket"] for r in probes.select("bucket").distinct().collect()]
-        filters = self._read("filters", sorted(touched)).where(F.col("batch") != own)
-        hits = filters.join(probes, ["bucket", "word"])
+        hits = filters.where(self._picked(ids)).join(probes, ["cell", "word"])
         hits = hits.where(F.col("mask").bitwiseAND(F.col("bits")) == F.col("bits"))
         return sorted((r["bucket"], r["batch"]) for r in hits.select("bucket", "batch").distinct().collect())
 
@@ -177,5 +205,6 @@ class IdIndex:
         folders = [f"{self.root}/ids/bucket={b}/batch={name}" for b, name in self.folders_with(ids, own)]
         known = self._ids_of(self.loose)
         if folders:
-            known = known.unionByName(self.spark.read.schema(f"{self.key} string").parquet(*folders))
+            stored = self.spark.read.schema(f"cell int, {self.key} string").parquet(*folders)
+            known = known.unionByName(stored.where(self._picked(ids)).select(self.key))
         return known

@@ -20,6 +20,8 @@ from tillgrain.sources.id_index import IdIndex
 
 IDS = "transaction_id"
 STREAM = "stream-"
+# What a task reads of a batch. Stored rows are many times smaller than those that it then sorts.
+SPLIT_BYTES = 16 * 1024 * 1024
 
 
 def stream_name(spark: SparkSession, checkpoint: str) -> str:
@@ -98,6 +100,7 @@ def stream_silver(
             return
         # Staged, so that all writes see the same rows even if executors are lost.
         with staging(spark):
+            batch.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
             first = stage(silver.dedup_transactions(batch), "stream_batch")
             index.refresh(name)
             known = index.candidates(first.select(IDS), name).select(F.col(IDS).alias("_known"))
