@@ -41,6 +41,20 @@ def test_category_sales_per_day(spark):
     assert names == [(f.name, f.dataType.simpleString()) for f in schemas.CATEGORY_SALES]
 
 
+def test_features_go_through_silver_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(key):
+        read.add(1)
+        return key
+
+    rows = silver(spark, *SALES).withColumn("customer_id", counted("customer_id"))
+    features = gold.customer_features(rows, people(spark, ("c1", date(2025, 1, 1), "N", 30.0)))
+    assert {r.customer_id: r.days_since_last_purchase for r in features.collect()} == {"c1": 1, "c2": 0}
+    assert read.value == len(SALES)
+
+
 def test_customer_features(spark):
     features = gold.customer_features(
         silver(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillgrain.functions.numeric import money_parts, money_total
+from tillgrain.session import stage
 
 CHURN_AFTER_DAYS = 60
 
@@ -121,10 +122,14 @@ def features_of(
     """Features and churn label from what was bought.
 
     Days are calendar days. Without any transaction date the label is 0. Customers not in the
-    dimension keep NULL attributes.
+    dimension keep NULL attributes. Without a given day the totals are staged: the latest time is read
+    from them, where a subquery over what was bought would compute all of it once more.
     """
-    today = as_of(bought) if as_of_date is None else F.lit(as_of_date)
-    return features_from(customer_totals(bought), customers, today)
+    totals = customer_totals(bought)
+    if as_of_date is not None:
+        return features_from(totals, customers, F.lit(as_of_date))
+    totals = stage(totals, "customer_totals")
+    return features_from(totals, customers, totals.agg(F.max("last_purchase_ts")).scalar())
 
 
 def features_from(totals: DataFrame, customers: DataFrame, today: Column) -> DataFrame:
