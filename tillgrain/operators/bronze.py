@@ -31,7 +31,8 @@ def store_batch(batch: DataFrame, output_path: str, batch_id: str, fmt: str = "p
     if fmt == "parquet":
         # From the one column that was just stored: the batch is not read and parsed once more.
         batch = lake.read_batch(batch, output_path, batch_id)
-    names = batch.select(lake.unified(F.col("_source_file")).alias("file")).where("file IS NOT NULL")
+    files = batch.select("_source_file").distinct()
+    names = files.select(lake.unified(F.col("_source_file")).alias("file")).where("file IS NOT NULL")
     lake.write_batch(names.distinct(), lake.manifest_path(output_path), batch_id)
 
 
