@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import AWKWARD, documents, prose
 from tillgrain.llm import langid, lm, secrets
@@ -49,6 +50,19 @@ def test_language_of_awkward_texts(spark):
     assert {r.lang_pred for r in langid.predict(documents(spark, AWKWARD), nothing).collect()} == {"und"}
 
 
+def test_texts_are_read_once_for_learning(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    training = documents(spark, [prose(i, 50) for i in range(6)]).select(counted("text").alias("text"), "lang")
+    assert langid.learn(training.where("lang IS NOT NULL")).languages == ["en"]
+    assert read.value <= 2 * 6  # also asked for once by the condition that there is a text
+
+
 def test_gram_counts_equal_brute_force(spark):
     texts = ["Abc, abd!", "ABC é", None, ""]
     got = {(r.lang, r.gram): r.n for r in langid.count_grams(documents(spark, [t for t in texts if t])).collect()}

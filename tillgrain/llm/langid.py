@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillgrain.llm.common import append_columns, byte_texts
+from tillgrain.session import stage
 
 GRAM = 4
 HASHES = 3
@@ -178,7 +179,9 @@ class Filter:
 def learn(training: DataFrame) -> Filter:
     """The filter of all training rows with text and lang."""
     rows = training.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    table = chosen_grams(count_grams(rows)).select("lang", "gram").toArrow().to_pandas()
+    # Staged: totals and shares both read the counts, which would go through all texts twice.
+    counts = stage(count_grams(rows), "gram_counts")
+    table = chosen_grams(counts).select("lang", "gram").toArrow().to_pandas()
     languages = sorted(table["lang"].unique())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"{len(languages)} languages; the filter has room for {MAX_LANGUAGES}")
