@@ -151,6 +151,55 @@ def test_levels_survive_saving(spark):
     assert all(len(lm.Level.load(r.level).codes) > 0 for r in lm.trie_levels(docs).collect())
 
 
+def test_sequences_are_searched_as_they_are_stored(monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.delattr(lm.EliasFano, "values")
+    for n, top in ((0, 1), (1, 1 << 63), (3, 5), (3000, 9), (3000, 1 << 20), (3000, (1 << 64) - 1)):
+        values = np.sort(rng.integers(0, top, n, np.uint64, endpoint=True))
+        stored, _ = lm.EliasFano.load(lm.mapped(lm.EliasFano.of(values).save()))
+        assert not stored.low.flags.owndata and not stored.high.flags.owndata
+        assert (stored.get(np.arange(n)) == values).all()
+        sought = np.append(values, rng.integers(0, top, 500, np.uint64, endpoint=True))
+        at, found = stored.find(sought)
+        assert (found == np.isin(sought, values)).all()
+        assert (at[found] == np.searchsorted(values, sought[found])).all()
+
+
+def test_scores_come_from_the_levels(spark, monkeypatch):
+    """Looked up by hand in the saved levels, what was not learned backing off to the word level."""
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 400)
+    rows = [(i, prose(i, 20 + 9 * i), i % 3 > 0) for i in range(20)] + [(20, "never seen", False), (21, None, True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    words = [lm.Words.load(lm.mapped(r.level)) for r in lm.word_levels(docs).collect()]
+    pairs = [lm.Level.load(lm.mapped(r.level)).reader() for r in lm.trie_levels(docs).collect()]
+    assert len(words) > 2 and len(pairs) > 2
+    number, code = {}, Counter()
+
+    def key(word):
+        hashed = np.array([lm.xxhash.xxh64_intdigest(word) if word else lm.END], np.uint64)
+        for level in words:
+            at, found = level.hashes.find(hashed - level.least)
+            if found[0]:
+                number[word], code[word] = int(level.numbers[at[0]]), int(level.codes[at[0]])
+        return number.get(word)
+
+    texts = {doc: [b"", *(text or "").lower().encode().split(), b""] for doc, text, _ in rows}
+    learned = [w for doc, _, train in rows if train for w in texts[doc][1:]]
+    backed_off = 0
+    for row in lm.score(docs).collect():
+        score = 0.0
+        for u, w in zip(texts[row.doc_id], texts[row.doc_id][1:]):
+            p, (context, own) = [], (key(u), key(w))
+            if context is not None and own is not None:
+                bigram = np.array([context << 32 | own], np.uint64)
+                p = [x for x in (look(bigram)[0] for look in pairs) if not np.isnan(x)]
+            backed_off += not p
+            no, us, ws = np.zeros(1), np.array([code[u]]), np.array([code[w]])
+            score += p[0] if p else lm.log_p(no, us, ws, len(learned), len(set(learned)))[0]
+        assert row.score == pytest.approx(score, rel=1e-12)
+    assert backed_off > 100
+
+
 # --- secrets
 
 

@@ -6,24 +6,32 @@ Model: p1(w) = (c(w) + 1) / (N + V + 1) over the training tokens, and for a word
 
 a smoothing whose probabilities add up to one and which needs no sums over a context: an n-gram can be
 looked up wherever its hash sends it, so a frequent word before many others is spread over all shards.
-The end of a text is a token, and also the context of the first word.
+A bigram that was not learned backs off to p1(w) * MU / (c(u) + MU). The end of a text is a token, and
+also the context of the first word.
 
 1. Texts become batches of about BATCH_TOKENS tokens: word hashes and a code for every token. They are
    stored, so a lost task repeats the same batches.
-2. Unigram level: every batch sends its distinct words to the shards by ranges of the word's hash; a
-   shard numbers its words by falling count and answers with number and count.
-3. Bigram level: every batch sends its distinct bigrams with their counts, and which documents have
-   them how often. A shard builds its part of the trie from all training counts: the contexts and the
-   pointers to their successors are monotone and stored as Elias-Fano sequences, probabilities as
-   quantised logarithms. Every bigram of the batches is then looked up: the context, and within its
-   pointers the successor. The answer is a sum of logarithms per document of the batch.
+2. Word level: every batch sends its distinct words to the shards by ranges of the word's hash. A shard
+   numbers its words by falling count and builds its part of the level: hashes as an Elias-Fano
+   sequence, and for every word its number and its quantised count, from which p1 and the back-off
+   weight follow. The batches' words are looked up there. The parts are stored with the answers, which
+   are number, quantised count and the count itself: the base score is exact.
+3. Bigram level: every batch sends its distinct bigrams with their counts, which documents have them how
+   often, and what the word level said of their words. A shard builds its part of the trie from all
+   training counts and the word level: the contexts and the pointers to their successors are monotone
+   and stored as Elias-Fano sequences, probabilities as quantised logarithms. Every bigram of the
+   batches is then looked up: the context, and within its pointers the successor. What is not there
+   backs off to the word level. The answer is a sum of logarithms per document of the batch.
 4. Sums meet per batch.
 
+A part of a level is written to a file of its task and mapped. It is searched in the file, by selecting
+in the high bits and by halving on the low bits: no sequence is unpacked.
+
 What is sent are compressed arrays, not a row for each token. Shards grow in number with the corpus,
 not in size; no table of the corpus is broadcast or brought to the driver.
 
-Words are known by their 64-bit hash. Levels can be saved: trie_levels() gives them as byte strings
-that Level.load() maps without copying.
+Words are known by their 64-bit hash. Levels can be saved: trie_levels() and word_levels() give them as
+byte strings that Level.load() and Words.load() map without copying.
 
 Defined results: null and empty texts are one end token; without training rows every token has
 p1 = 1 / 1 and score 0 for c = N = V = 0; repeated rows count and are scored as often as they are
@@ -31,6 +39,9 @@ there; rows with null doc_id train (nothing holds them out) and are scored; only
 read.
 """
 
+import mmap
+import tempfile
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -42,7 +53,9 @@ from tillgrain.llm.common import by_crc, byte_texts
 from tillgrain.session import stage
 
 MU = 2.0
-STEP = 0.004  # of quantised log10 probabilities
+STEP = 0.004  # no log10 probability is wrong by more than half of it
+WORD_STEP = STEP / 8  # of the word level's log10(count + 1), once for the word and once for its context
+PAIR_STEP = STEP / 2  # of the bigram level's log10 probabilities
 BATCH_TOKENS = 1_000_000  # with SHARD_TOKENS, what bounds the memory of a task
 SHARD_TOKENS = 1_000_000
 HELD_OUT = (7, 2)
@@ -78,95 +91,215 @@ def unpacked_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpacked(data), dtype=np.uint64)
 
 
+def packed_codes(codes: np.ndarray) -> bytes:
+    """Codes of 16 bits of which neighbours are alike: their differences."""
+    return packed(np.diff(codes, prepend=np.uint16(0)))
+
+
+def unpacked_codes(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64).astype(np.uint16)
+
+
 # --- trie levels --------------------------------------------------------------------------------
 
 
+def set_bit(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the set bit with this rank in each word of 64 bits."""
+    words, rank, place = words.copy(), rank.astype(np.int64), np.zeros(len(words), np.int64)
+    for half in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(words & np.uint64((1 << half) - 1)).astype(np.int64)
+        up = rank >= below
+        rank -= below * up
+        place += half * up
+        words >>= (half * up).astype(np.uint64)
+    return place
+
+
+def or_into(out: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
+    """Or bits into out at places that do not fall."""
+    if len(at):
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        out[at[first]] |= np.bitwise_or.reduceat(bits, first)
+
+
 class EliasFano:
-    """A non-decreasing sequence: low bits packed, high bits in unary."""
+    """A non-decreasing sequence: low bits packed, high bits in unary, searched as it is stored.
 
-    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.width, self.low, self.high = n, width, low, high
+    ranks are the ones and the zeros before each 64 of the high bits.
+    """
+
+    def __init__(self, n: int, width: int, last: int, low: np.ndarray, high: np.ndarray, ranks: np.ndarray):
+        self.n, self.width, self.last = n, width, last
+        self.low, self.high, self.ranks = low, high, ranks
 
     @classmethod
     def of(cls, values: np.ndarray) -> "EliasFano":
         n = len(values)
         top = int(values[-1]) if n else 0
-        width = max(0, (top // max(n, 1)).bit_length() - 1)
-        bits = (values[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-        unary = np.zeros(n + (top >> width) + 1, np.uint8)
-        unary[(values >> np.uint64(width)).astype(np.int64) + np.arange(n)] = 1
-        return cls(n, width, np.packbits(bits.astype(np.uint8)), np.packbits(unary))
+        width = min(56, max(0, (top // max(n, 1)).bit_length() - 1))
+        last = top >> width
+        low = np.zeros(n * width // 64 + 2, np.uint64)
+        start = np.arange(n, dtype=np.int64) * width
+        word, shift = start >> 6, (start & 63).astype(np.uint64)
+        bits = values & np.uint64((1 << width) - 1)
+        or_into(low, word, bits << shift)
+        over = (start & 63) + width > 64
+        low[word[over] + 1] |= bits[over] >> (np.uint64(64) - shift[over])
+        high = np.zeros((n + last) // 64 + 1, np.uint64)
+        place = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
+        or_into(high, place >> 6, np.uint64(1) << (place & 63).astype(np.uint64))
+        ones = np.cumsum(np.bitwise_count(high), dtype=np.int64) - np.bitwise_count(high)
+        ranks = np.stack([ones, np.arange(len(high)) * 64 - ones]).astype(np.uint32)
+        return cls(n, width, last, low, high, ranks)
+
+    def select(self, bit: int, rank: np.ndarray) -> np.ndarray:
+        """Places of the ones or zeros with these ranks in the high bits."""
+        before = self.ranks[1 - bit]
+        word = np.searchsorted(before, rank.astype(np.uint32), "right") - 1
+        bits = self.high[word] if bit else ~self.high[word]
+        return word * 64 + set_bit(bits, rank - before[word])
+
+    def low_bits(self, at: np.ndarray) -> np.ndarray:
+        start = at.astype(np.int64) * self.width
+        word, shift = start >> 6, (start & 63).astype(np.uint64)
+        bits = self.low[word] >> shift | (self.low[word + 1] << np.uint64(1)) << (np.uint64(63) - shift)
+        return bits & np.uint64((1 << self.width) - 1)
+
+    def get(self, at: np.ndarray) -> np.ndarray:
+        high = (self.select(1, at) - at).astype(np.uint64)
+        return high << np.uint64(self.width) | self.low_bits(at)
+
+    def below(self, high: np.ndarray) -> np.ndarray:
+        """How many elements have smaller high bits."""
+        zero = np.maximum(high, 1) - 1
+        return np.where(high > 0, self.select(0, zero) - zero, 0)
+
+    def find(self, values: np.ndarray, start=0, end=None) -> tuple[np.ndarray, np.ndarray]:
+        """Places of values between start and end, and whether they are there."""
+        high = np.minimum(values >> np.uint64(self.width), np.uint64(self.last + 1)).astype(np.int64)
+        sought = values & np.uint64((1 << self.width) - 1)
+        at = np.maximum(self.below(high), start)
+        to = np.minimum(self.below(np.minimum(high + 1, self.last + 1)), self.n if end is None else end)
+        stop, open_ = to.copy(), np.flatnonzero(at < to)
+        while len(open_):
+            middle = (at[open_] + to[open_]) >> 1
+            less = self.low_bits(middle) < sought[open_]
+            at[open_[less]] = middle[less] + 1
+            to[open_[~less]] = middle[~less]
+            open_ = open_[at[open_] < to[open_]]
+        found = at < stop
+        found[found] = self.low_bits(at[found]) == sought[found]
+        return at, found
 
     def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high))[: self.n]
-        high = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.width)
-        bits = np.unpackbits(self.low, count=self.n * self.width).reshape(self.n, self.width)
-        return high + bits.astype(np.uint64) @ (np.uint64(1) << np.arange(self.width, dtype=np.uint64))
+        return self.get(np.arange(self.n))
 
     def save(self) -> bytes:
-        head = np.array([self.n, self.width, len(self.low), len(self.high)], np.int64)
-        return head.tobytes() + self.low.tobytes() + self.high.tobytes()
+        head = np.array([self.n, self.width, self.last, len(self.low), len(self.high)], np.int64)
+        return b"".join(x.tobytes() for x in (head, self.low, self.high, self.ranks))
 
     @classmethod
     def load(cls, data: memoryview) -> tuple["EliasFano", memoryview]:
-        n, width, low, high = np.frombuffer(data[:32], np.int64).tolist()
-        body = np.frombuffer(data[32 : 32 + low + high], np.uint8)
-        return cls(n, width, body[:low], body[low:]), data[32 + low + high :]
+        n, width, last, low, high = np.frombuffer(data, np.int64, 5).tolist()
+        words = np.frombuffer(data, np.uint64, low + 2 * high, 40)  # ranks take as much as the high bits
+        ranks = words[low + high :].view(np.uint32).reshape(2, high)
+        return cls(n, width, last, words[:low], words[low : low + high], ranks), data[40 + 8 * len(words) :]
+
+
+def mapped(data: bytes) -> memoryview:
+    """The bytes in a file of this task, which ends with the last view of it."""
+    with tempfile.TemporaryFile() as file:
+        file.write(data)
+        file.flush()
+        return memoryview(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
+
+
+class Words:
+    """Words of one shard by hash, with their numbers and quantised counts."""
+
+    def __init__(self, least: int, hashes: EliasFano, numbers: np.ndarray, codes: np.ndarray):
+        self.least, self.hashes, self.numbers, self.codes = np.uint64(least), hashes, numbers, codes
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, numbers: np.ndarray, counts: np.ndarray) -> "Words":
+        """From sorted hashes; the sequence begins at the first one."""
+        least = hashes[0] if len(hashes) else np.uint64(0)
+        codes = np.round(np.log10(counts + 1.0) / WORD_STEP).astype(np.uint16)
+        return cls(least, EliasFano.of(hashes - least), numbers.astype(np.uint32), codes)
+
+    def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and codes of words that are there."""
+        at, found = self.hashes.find(hashes - self.least)
+        if not found.all():
+            raise KeyError("a word that is in no batch")
+        return self.numbers[at].astype(np.uint64), self.codes[at]
+
+    def save(self) -> bytes:
+        head = np.array([self.least], np.uint64).tobytes()
+        return head + self.hashes.save() + self.numbers.tobytes() + self.codes.tobytes()
+
+    @classmethod
+    def load(cls, data) -> "Words":
+        data = memoryview(data)
+        hashes, rest = EliasFano.load(data[8:])
+        numbers = np.frombuffer(rest[: 4 * hashes.n], np.uint32)
+        return cls(np.frombuffer(data[:8], np.uint64)[0], hashes, numbers, np.frombuffer(rest[4 * hashes.n :], np.uint16))
 
 
 class Level:
-    """Bigrams of one shard: contexts, pointers to their successors, words, quantised log10 p."""
+    """Bigrams of one shard: contexts, pointers to their successors, words, quantised log10 p.
+
+    Words are made monotone by adding span for each context before their own.
+    """
 
-    def __init__(self, contexts: EliasFano, pointers: EliasFano, words: EliasFano, codes: np.ndarray):
-        self.contexts, self.pointers, self.words, self.codes = contexts, pointers, words, codes
+    def __init__(self, span: int, contexts: EliasFano, pointers: EliasFano, words: EliasFano, codes: np.ndarray):
+        self.span, self.contexts, self.pointers = np.uint64(span), contexts, pointers
+        self.words, self.codes = words, codes
 
     @classmethod
     def of(cls, keys: np.ndarray, log_p: np.ndarray) -> "Level":
         """From sorted keys, context in the upper and word in the lower half."""
         contexts, first = np.unique(keys >> np.uint64(32), return_index=True)
         pointers = np.append(first, len(keys)).astype(np.uint64)
-        # Words made monotone by adding the place of their context.
-        span = np.uint64(1 << 32)
+        words = keys & np.uint64(0xFFFFFFFF)
+        span = words.max(initial=np.uint64(0)) + np.uint64(1)
         place = np.repeat(np.arange(len(contexts), dtype=np.uint64), np.diff(pointers).astype(np.int64))
-        words = (keys & np.uint64(0xFFFFFFFF)) + place * span
-        codes = np.minimum(np.round(-log_p / STEP), 65_535).astype(np.uint16)
-        return cls(EliasFano.of(contexts), EliasFano.of(pointers), EliasFano.of(words), codes)
+        codes = np.minimum(np.round(-log_p / PAIR_STEP), 65_535).astype(np.uint16)
+        return cls(span, EliasFano.of(contexts), EliasFano.of(pointers), EliasFano.of(words + place * span), codes)
 
     def reader(self):
         """A function from keys to log10 p, nan for those without training count."""
-        contexts, pointers = self.contexts.values(), self.pointers.values().astype(np.int64)
-        words = self.words.values() & np.uint64(0xFFFFFFFF)
 
         def look(keys: np.ndarray) -> np.ndarray:
             out = np.full(len(keys), np.nan)
-            if not len(contexts):
-                return out
-            sought = keys >> np.uint64(32)
-            at = np.minimum(np.searchsorted(contexts, sought), len(contexts) - 1)
-            word = keys & np.uint64(0xFFFFFFFF)
-            low = pointers[at]
-            end = high = np.where(contexts[at] == sought, pointers[at + 1], low)
-            while (open_ := low < high).any():  # successor of the word within its context
-                middle = (low + high) >> 1
-                less = open_ & (words[np.minimum(middle, len(words) - 1)] < word)
-                low = np.where(less, middle + 1, low)
-                high = np.where(open_ & ~less, middle, high)
-            found = (low < end) & (words[np.minimum(low, len(words) - 1)] == word)
-            out[found] = self.codes[low[found]] * -STEP
+            context, word = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
+            first = np.append(True, context[1:] != context[:-1])[: len(keys)]
+            at, found = self.contexts.find(context[first])
+            at = np.where(found, at, 0)
+            low, high = (self.pointers.get(at + i).astype(np.int64) for i in (0, 1)) if self.contexts.n else (at, at)
+            run = np.cumsum(first) - 1
+            open_ = np.flatnonzero(found[run] & (word < self.span))
+            run = run[open_]
+            sought = word[open_] + at[run].astype(np.uint64) * self.span
+            place, there = self.words.find(sought, low[run], high[run])  # within the pointers of the context
+            out[open_[there]] = self.codes[place[there]] * -PAIR_STEP
             return out
 
         return look
 
     def save(self) -> bytes:
-        return b"".join(x.save() for x in (self.contexts, self.pointers, self.words)) + self.codes.tobytes()
+        head = np.array([self.span], np.uint64).tobytes()
+        parts = b"".join(x.save() for x in (self.contexts, self.pointers, self.words))
+        return head + parts + self.codes.tobytes()
 
     @classmethod
     def load(cls, data) -> "Level":
         data, parts = memoryview(data), []
+        span, data = np.frombuffer(data[:8], np.uint64)[0], data[8:]
         for _ in range(3):
             part, data = EliasFano.load(data)
             parts.append(part)
-        return cls(*parts, np.frombuffer(data, np.uint16))
+        return cls(span, *parts, np.frombuffer(data, np.uint16))
 
 
 # --- batches ------------------------------------------------------------------------------------
@@ -237,7 +370,7 @@ def in_shards(shard_of: np.ndarray, shards: int):
 
 
 def unigrams(batches: DataFrame, shards: int) -> DataFrame:
-    """Answers batch, shard, numbers, counts of each batch's words; n and v of each shard's words."""
+    """Answers batch, shard, numbers, codes, counts of each batch's words; of each shard n, v and the word level."""
 
     def send(rows):
         for batch in rows:
@@ -260,30 +393,33 @@ def unigrams(batches: DataFrame, shards: int) -> DataFrame:
         shard = table.column("shard")[0].as_py()
         words = [unpacked_sorted(x) for x in table.column("words").to_pylist()]
         counts = np.concatenate([unpacked(x) for x in table.column("counts").to_pylist()])
-        distinct, inverse = np.unique(np.concatenate(words), return_inverse=True)
+        ends = np.cumsum([len(w) for w in words])[:-1]
+        words = np.concatenate(words)
+        distinct, inverse = np.unique(words, return_inverse=True)
         total = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.uint64)
         order = np.lexsort((distinct, -total.astype(np.int64)))
         number = np.empty(len(order), np.uint64)
         number[order] = np.arange(len(order), dtype=np.uint64) * np.uint64(shards) + np.uint64(shard)
         if len(order) * shards >= 1 << 32:
             raise ValueError("more than 2**32 distinct words")
-        ends = np.cumsum([len(w) for w in words])
-        parts = [inverse[a:b] for a, b in zip(np.append(0, ends[:-1]), ends)]
-        n, v = [0] * len(parts), [0] * len(parts)
-        n[0], v[0] = int(total.sum()), int((total > 0).sum())
+        saved = Words.of(distinct, number, total).save()
+        numbers, codes = Words.load(mapped(saved)).look(words)
+        parts = range(table.num_rows)
         return pa.table(
             {
                 "batch": table.column("batch"),
                 "shard": table.column("shard"),
-                "numbers": pa.array([packed(number[p]) for p in parts], pa.binary()),
-                "counts": pa.array([packed(total[p]) for p in parts], pa.binary()),
-                "n": pa.array(n, pa.int64()),
-                "v": pa.array(v, pa.int64()),
+                "numbers": pa.array([packed(x) for x in np.split(numbers, ends)], pa.binary()),
+                "codes": pa.array([packed(x) for x in np.split(codes, ends)], pa.binary()),
+                "counts": pa.array([packed(x) for x in np.split(total[inverse], ends)], pa.binary()),
+                "n": pa.array([0 if i else int(total.sum()) for i in parts], pa.int64()),
+                "v": pa.array([0 if i else int((total > 0).sum()) for i in parts], pa.int64()),
+                "level": pa.array([None if i else saved for i in parts], pa.binary()),
             }
         )
 
     sent = batches.mapInArrow(send, "shard int, batch long, words binary, counts binary")
-    schema = "batch long, shard int, numbers binary, counts binary, n long, v long"
+    schema = "batch long, shard int, numbers binary, codes binary, counts binary, n long, v long, level binary"
     return sent.groupBy("shard").applyInArrow(answer, schema)
 
 
@@ -293,7 +429,10 @@ def range_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def bigrams(batches: DataFrame, answers: DataFrame, shards: int, n: int, v: int) -> DataFrame:
-    """Rows for the shards: bigrams of each batch, counts and documents; and the batch's own row."""
+    """Rows for the shards: bigrams of each batch, counts and documents; and the batch's own row.
+
+    contexts and lower are the word level's codes of the distinct contexts and words of a row, by number.
+    """
     schema = (
         "shard int, batch long, keys binary, counts binary, contexts binary, lower binary, "
         "times binary, places binary, ids array<long>, sizes binary, known binary, base binary, train binary"
@@ -307,6 +446,7 @@ def bigrams(batches: DataFrame, answers: DataFrame, shards: int, n: int, v: int)
                 parts = sorted(row["answers"], key=lambda a: a["shard"])
                 number = np.concatenate([unpacked(a["numbers"]) for a in parts])
                 count = np.concatenate([unpacked(a["counts"]) for a in parts])
+                level = np.concatenate([unpacked(a["codes"]) for a in parts]).astype(np.uint16)
                 codes = unpacked(row["codes"]).astype(np.int32)
                 sizes = unpacked(row["sizes"]).astype(np.int64)
                 starts = np.cumsum(sizes) - sizes
@@ -327,13 +467,15 @@ def bigrams(batches: DataFrame, answers: DataFrame, shards: int, n: int, v: int)
                 bounds = np.append(first, len(keys))
                 columns = [[], [], [], [], [], [], [], []]
                 for s, part in found:
+                    own, (context, word) = token[part], halves(keys[first[part]])
+                    by_context, by_word = (np.unique(x, return_index=True)[1] for x in (context, word))
                     values = (
                         s,
                         row["batch"],
                         packed_sorted(keys[first[part]]),
                         packed(counts[part]),
-                        packed(count[before[token[part]]]),
-                        packed(count[codes[token[part]]]),
+                        packed_codes(level[before[own[by_context]]]),
+                        packed_codes(level[codes[own[by_word]]]),
                         packed(times[part] - 1),
                         packed(doc_of[bounds[part.start] : bounds[part.stop]]),
                     )
@@ -349,7 +491,7 @@ def bigrams(batches: DataFrame, answers: DataFrame, shards: int, n: int, v: int)
                 )
 
     gathered = answers.groupBy("batch").agg(
-        F.collect_list(F.struct("shard", "numbers", "counts")).alias("answers")
+        F.collect_list(F.struct("shard", "numbers", "codes", "counts")).alias("answers")
     )
     joined = batches.select("batch", "ids", "train", "sizes", "codes").join(gathered, "batch")
     return joined.mapInArrow(send, schema)
@@ -360,38 +502,47 @@ def range_shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return range_shard(mixed ^ (mixed >> np.uint64(29)), shards)
 
 
-def log_p(counts: np.ndarray, contexts: np.ndarray, lower: np.ndarray, n: int, v: int) -> np.ndarray:
-    return np.log10((counts + MU * (lower + 1.0) / (n + v + 1.0)) / (contexts + MU))
+def halves(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
 
 
-def shard_level(table: pa.Table, n: int, v: int) -> tuple[Level, list]:
-    """The trie level of one shard, and the keys, context counts and word counts of each batch."""
-    column = lambda name: [unpacked(x) for x in table.column(name).to_pylist()]
-    keys = [unpacked_sorted(x) for x in table.column("keys").to_pylist()]
-    contexts, lower = column("contexts"), column("lower")
-    flat = np.concatenate(keys)
-    distinct, at, inverse = np.unique(flat, return_index=True, return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate(column("counts")), minlength=len(distinct))
+def log_p(counts: np.ndarray, contexts: np.ndarray, lower: np.ndarray, n: int, v: int) -> np.ndarray:
+    """log10 p of bigrams from their counts and the codes of their contexts and words."""
+    context, word = (10.0 ** (codes * WORD_STEP) for codes in (contexts, lower))  # counts + 1
+    return np.log10((counts + MU * word / (n + v + 1.0)) / (context - 1.0 + MU))
+
+
+def shard_level(table: pa.Table, n: int, v: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The saved trie level of one shard; its bigrams, their back-off, and the place there of every row's."""
+    keys, contexts, lower = [], [], []
+    for column in zip(*(table.column(name).to_pylist() for name in ("keys", "contexts", "lower"))):
+        keys.append(unpacked_sorted(column[0]))
+        for half, codes, out in zip(halves(keys[-1]), column[1:], (contexts, lower)):
+            out.append(unpacked_codes(codes)[np.unique(half, return_inverse=True)[1]])
+    counts = np.concatenate([unpacked(x) for x in table.column("counts").to_pylist()])
+    distinct, at, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.bincount(inverse, weights=counts, minlength=len(distinct))
+    codes = np.concatenate(contexts)[at], np.concatenate(lower)[at]
     learned = total > 0
-    p = log_p(total, np.concatenate(contexts)[at], np.concatenate(lower)[at], n, v)
-    return Level.of(distinct[learned], p[learned]), list(zip(keys, contexts, lower))
+    level = Level.of(distinct[learned], log_p(total, *codes, n, v)[learned])
+    return level.save(), distinct, log_p(np.zeros(len(distinct)), *codes, n, v), inverse
 
 
 def batch_sums(n: int, v: int):
     """Of one shard's bigrams: for each batch, the sum of log10 p for each of its documents."""
 
     def answer(table: pa.Table) -> pa.Table:
-        level, parts = shard_level(table, n, v)
-        look, owners, sums = level.reader(), [], []
-        times, places = table.column("times").to_pylist(), table.column("places").to_pylist()
-        for (keys, contexts, lower), often, docs in zip(parts, times, places):
-            p = look(keys)
-            absent = np.isnan(p)
-            p[absent] = log_p(np.zeros(absent.sum()), contexts[absent], lower[absent], n, v)
+        saved, keys, backed_off, inverse = shard_level(table, n, v)
+        p = Level.load(mapped(saved)).reader()(keys)
+        p = np.where(np.isnan(p), backed_off, p)
+        owners, sums, at = [], [], 0
+        for often, docs in zip(table.column("times").to_pylist(), table.column("places").to_pylist()):
             often = unpacked(often).astype(np.int64) + 1
             docs = unpacked(docs).astype(np.int64)
-            own, inverse = np.unique(docs, return_inverse=True)
-            got = np.bincount(inverse, weights=np.repeat(p, often), minlength=len(own))
+            own, place = np.unique(docs, return_inverse=True)
+            of_row = p[inverse[at : at + len(often)]]
+            at += len(often)
+            got = np.bincount(place, weights=np.repeat(of_row, often), minlength=len(own))
             sums.append(got.tobytes())
             owners.append(packed_sorted(own.astype(np.uint64)))
         rest = {c: table.column(c) for c in ("batch", "ids", "sizes", "known", "base", "train")}
@@ -446,13 +597,21 @@ def trie_levels(docs: DataFrame) -> DataFrame:
     n, v = answers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
 
     def build(table: pa.Table) -> pa.Table:
-        level, _ = shard_level(table, n, v)
-        return pa.table({"shard": table.column("shard")[:1], "level": pa.array([level.save()])})
+        level = shard_level(table, n, v)[0]
+        return pa.table({"shard": table.column("shard")[:1], "level": pa.array([level])})
 
     sent = bigrams(batches, answers, shards, n, v)
     return sent.groupBy("shard").applyInArrow(build, "shard int, level binary")
 
 
+def word_levels(docs: DataFrame) -> DataFrame:
+    """shard and level, the saved word level of every shard, learned from docs(doc_id, text, train)."""
+    batches = stage(token_batches(docs.where("train")), "lm-batches")
+    tokens = batches.agg(F.sum("tokens")).first()[0] or 0
+    answers = unigrams(batches, max(1, -(-tokens // SHARD_TOKENS)))
+    return answers.where("level IS NOT NULL").select("shard", "level")
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """Scores of docs(doc_id, text), learned from the rows that the CRC of their id does not hold out."""
     divisor, rest = HELD_OUT
