@@ -1,6 +1,7 @@
 """Every operator as a named query over the given tables: (spark, sf_dir) -> DataFrame."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,8 +22,8 @@ from tillgrain.operators import (
     silver,
 )
 from tillgrain.plans import flow, incremental
-from tillgrain.session import scratch_path, stage
-from tillgrain.sources import feed, lake, logs
+from tillgrain.session import releasing, scratch_path, stage, staging
+from tillgrain.sources import feed, files, lake, logs
 from tillgrain.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,15 +376,30 @@ def two_streams_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_silver(spark, tables)
 
 
-def _months(rows: DataFrame) -> list[DataFrame]:
-    """Three drops, mostly of one span of time each; a tenth of the rows comes two drops late."""
+def _store_drop(rows: DataFrame, tables: flow.Lake, number: int) -> None:
+    lineage = {"_ingested_at": F.lit(f"day {number}"), "_source_file": F.lit(f"drop-{number}")}
+    bronze.store_batch(rows.withColumns(lineage), tables.bronze, f"drop-{number}")
+
+
+def _months_to_bronze(rows: DataFrame, tables: flow.Lake) -> Iterator[int]:
+    """Bronze gets three drops, the next one when it is asked for: mostly of one span of time each; a tenth
+    of the rows comes two drops late. A drop that is stored is not kept beside Bronze."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "dealt")
     year = F.coalesce(F.year(F.col("transaction_ts").try_cast("date")), F.lit(0))
     span = F.when(year < 1994, 0).when(year < 1996, 1).otherwise(2)
     late = F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == 0
     # Copies of a transaction come together, as batch Silver chooses among all of them.
     first = F.min(F.when(late, 2).otherwise(span)).over(Window.partitionBy("transaction_id"))
-    dealt = stage(rows.withColumn("drop", first), "dealt")
-    return [dealt.where(F.col("drop") == i).drop("drop") for i in range(3)]
+    # The feed is stored first, so its joins have left the disk when its rows are dealt.
+    with staging(spark), releasing(spark):
+        fed = stage(rows, "feed").withColumn("drop", first)
+        fed.write.partitionBy("drop").parquet(path)
+    dealt = spark.read.schema(fed.schema).parquet(path)
+    for i in range(3):
+        with releasing(spark):
+            _store_drop(dealt.where(F.col("drop") == i).drop("drop"), tables, i)
+        files.delete(spark, f"{path}/drop={i}")
+        yield i
 
 
 def _lake_in_batches(spark: SparkSession, sf_dir: str) -> tuple[flow.Lake, str]:
@@ -391,12 +407,7 @@ def _lake_in_batches(spark: SparkSession, sf_dir: str) -> tuple[flow.Lake, str]:
     tables, checkpoint = flow.Lake(scratch_path(spark, "lake")), scratch_path(spark, "stream")
     customers = scratch_path(spark, "customers")
     lake.write_csv(feed.customers(spark, sf_dir), customers)
-    for i, rows in enumerate(_months(feed.transactions(spark, sf_dir))):
-        bronze.store_batch(
-            rows.withColumns({"_ingested_at": F.lit(f"day {i}"), "_source_file": F.lit(f"drop-{i}")}),
-            tables.bronze,
-            f"drop-{i}",
-        )
+    for _ in _months_to_bronze(feed.transactions(spark, sf_dir), tables):
         ingest.stream_silver(
             spark, tables.bronze, tables.silver, tables.quarantine, checkpoint, ids_per_bucket=20_000
         ).awaitTermination()
@@ -410,12 +421,11 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids, so that the index is made anew on the way."""
     tables, checkpoint = flow.Lake(scratch_path(spark, "lake")), scratch_path(spark, "stream")
     rows = feed.transactions(spark, sf_dir)
-    for i, drop in enumerate([*_months(rows), _by_thirds(rows)[1]]):
-        bronze.store_batch(
-            drop.withColumns({"_ingested_at": F.lit(f"day {i}"), "_source_file": F.lit(f"drop-{i}")}),
-            tables.bronze,
-            f"drop-{i}",
-        )
+    def replay() -> Iterator[int]:
+        _store_drop(_by_thirds(rows)[1], tables, 3)
+        yield 3
+
+    for _ in chain(_months_to_bronze(rows, tables), replay()):
         ingest.stream_silver(
             spark, tables.bronze, tables.silver, tables.quarantine, checkpoint, ids_per_bucket=5_000
         ).awaitTermination()

@@ -11,14 +11,14 @@ customers of a bucket. Recency and churn depend on the latest day of all, so cus
 projection over the totals, written as a whole; nothing is aggregated for customers who bought nothing.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillgrain import schemas
 from tillgrain.operators import gold
 from tillgrain.plans.flow import Lake
-from tillgrain.session import stage, staging
+from tillgrain.session import releasing, stage, staging
 from tillgrain.sources import lake, parts
 from tillgrain.sources.parts import Parts
 
@@ -29,6 +29,8 @@ SALES = T.StructType([T.StructField(parts.PART, T.StringType()), *schemas.CATEGO
 BUCKET = "bucket"
 BUCKETS = 64
 ENTRY = ("customer_id", "product_category")
+ROWS_PER_PIECE = 250_000  # of a part, that a task merges and writes
+PIECE = "_piece"
 
 
 def update_gold(
@@ -38,7 +40,7 @@ def update_gold(
 
     buckets and period say how large the parts are, and stay what they were when the tables were made.
     """
-    with staging(spark):
+    with staging(spark), releasing(spark):
         names = parts.batches(spark, tables.silver)
         daily = Parts(spark, tables.purchases, parts.PART, PURCHASES)
         by_customer = Parts(spark, tables.customer_purchases, BUCKET, schemas.CUSTOMER_PURCHASES)
@@ -69,8 +71,19 @@ def _news(spark: SparkSession, tables: Lake, made_of: list[str] | None, names: l
 
 
 def _by_customer(bought: DataFrame, buckets: int) -> DataFrame:
-    bucket = F.pmod(F.xxhash64("customer_id"), F.lit(buckets)).cast("int")
-    return gold.merged(bought.withColumn(BUCKET, bucket), BUCKET, *ENTRY)
+    """Days are left apart: they are merged together with what is stored."""
+    return bought.withColumn(BUCKET, F.pmod(F.xxhash64("customer_id"), F.lit(buckets)).cast("int"))
+
+
+def _piece(rows: DataFrame, column: str) -> Column:
+    """Which piece of its part a row belongs to; all rows of an entry are in one piece."""
+    counts = rows.groupBy(F.col(column).cast("string")).count().where(F.col("count") > ROWS_PER_PIECE).collect()
+    if not counts:
+        return F.lit(0)
+    # As many as there are large parts.
+    pieces = F.create_map(*[F.lit(x) for part, n in counts for x in (part, -(-n // ROWS_PER_PIECE))])
+    own = F.coalesce(pieces[F.col(column).cast("string")], F.lit(1))
+    return F.pmod(F.xxhash64(*ENTRY), own).cast("int")
 
 
 def _add_to(table: Parts, names: list[str], news: DataFrame, keys: tuple[str, ...]) -> None:
@@ -83,9 +96,11 @@ def _add_to(table: Parts, names: list[str], news: DataFrame, keys: tuple[str, ..
         stored, replaced = table.read(touched), touched
     else:
         stored, replaced = table.read([]), sorted({*touched, *table.parts})
-    rows = gold.merged(stored.unionByName(news.select(*stored.columns)), *keys)
-    # Rebalanced by part: small parts get few files, and a large day is spread over several tasks.
-    table.replace(rows.select(*stored.columns).hint("rebalance", keys[0]), replaced, names)
+    both = stored.unionByName(news.select(*stored.columns))
+    # Exchanged once, by part and piece: small parts get few files, a large day is spread over several tasks,
+    # and what has the same keys is together already when it is merged.
+    dealt = both.withColumn(PIECE, _piece(both, keys[0])).repartition(keys[0], PIECE)
+    table.replace(gold.merged(dealt, *keys, PIECE).select(*stored.columns), replaced, names)
 
 
 def _stale(made: Parts, source: Parts) -> list[str]:

@@ -3,6 +3,7 @@
 import tempfile
 import threading
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -63,6 +64,37 @@ def staging(spark: SparkSession) -> Iterator[None]:
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_release_lock = threading.Lock()
+_releasing: Counter[str] = Counter()
+_set_before: dict[str, str | None] = {}
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Every job within deletes its shuffle files when it ends; else they stay until the driver happens to
+    collect its garbage, and a chain of jobs has the files of all of them on disk.
+
+    For jobs that run once: a DataFrame that is collected again makes its shuffles again. Scopes of a
+    session may overlap, in threads too; the last one to end restores the setting.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _release_lock:
+        if not _releasing[session]:
+            _set_before[session] = spark.conf.get(RELEASE, None)
+            spark.conf.set(RELEASE, "true")
+        _releasing[session] += 1
+    try:
+        yield
+    finally:
+        with _release_lock:
+            _releasing[session] -= 1
+            if not _releasing[session]:
+                del _releasing[session]
+                before = _set_before.pop(session)
+                spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+
+
 def stage(df: DataFrame, label: str, *partition_columns: str) -> DataFrame:
     """Write df to the shared folder and read it back.
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillgrain import schemas
 from tillgrain.operators import bronze, silver
-from tillgrain.session import stage, staging
+from tillgrain.session import releasing, stage, staging
 from tillgrain.sources import files, id_index, lake
 from tillgrain.sources.id_index import IdIndex
 
@@ -99,12 +99,18 @@ def stream_silver(
         if index.is_done(name):
             return
         # Staged, so that all writes see the same rows even if executors are lost.
-        with staging(spark):
+        with staging(spark), releasing(spark), releasing(batch.sparkSession):
             batch.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
-            first = stage(silver.dedup_transactions(batch), "stream_batch")
+            ids = stage(batch.select(IDS).distinct(), "stream_ids")
             index.refresh(name)
-            known = index.candidates(first.select(IDS), name).select(F.col(IDS).alias("_known"))
-            new = first.join(known, F.col(IDS).eqNullSafe(F.col("_known")), "left_anti")
+            known = index.candidates(ids, name).select(F.col(IDS).alias("_known"))
+            # Found among the ids alone: what is left of the index's candidates is as small as the replay.
+            replayed = stage(known.join(ids, F.col(IDS).eqNullSafe(F.col("_known")), "left_semi").distinct(), "replayed")
+            null_is_known = not replayed.where("_known IS NULL").isEmpty()
+            # By plain equality, as the rows are dealt for their deduplication: they are not exchanged again.
+            new = silver.dedup_transactions(batch).join(replayed, F.col(IDS) == F.col("_known"), "left_anti")
+            if null_is_known:
+                new = new.where(F.col(IDS).isNotNull())
             tagged = stage(silver.tag_failures(new), "stream_tagged")
             lake.write_batch(silver.clean_rows(tagged), clean_path, name)
             lake.write_batch(silver.quarantined_rows(tagged), quarantine_path, name)
