@@ -22,7 +22,7 @@ from tillgrain.operators import (
     silver,
 )
 from tillgrain.plans import flow, incremental
-from tillgrain.session import releasing, scratch_path, stage, staging
+from tillgrain.session import releasing, scratch_path, slices, stage
 from tillgrain.sources import feed, files, lake, logs
 from tillgrain.streaming import ingest
 
@@ -33,6 +33,7 @@ QUERIES: dict[str, Query] = {}
 INCIDENT_FRACTION = 0.30
 DIRT_FRACTION = 0.05
 RUN_THRESHOLD = 0.96
+DEAL_ROUNDS = 4  # in which a feed is joined and dealt out; no parameter of a result
 IMPORTANCES = dict(zip(features.FEATURES, (0.25, 0.2, 0.15, 0.1, 0.15, 0.1, 0.05)))
 
 
@@ -390,11 +391,12 @@ def _months_to_bronze(rows: DataFrame, tables: flow.Lake) -> Iterator[int]:
     late = F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == 0
     # Copies of a transaction come together, as batch Silver chooses among all of them.
     first = F.min(F.when(late, 2).otherwise(span)).over(Window.partitionBy("transaction_id"))
-    # The feed is stored first, so its joins have left the disk when its rows are dealt.
-    with staging(spark), releasing(spark):
-        fed = stage(rows, "feed").withColumn("drop", first)
-        fed.write.partitionBy("drop").parquet(path)
-    dealt = spark.read.schema(fed.schema).parquet(path)
+    # In rounds, so that no more than a share of the feed is on its way through joins and windows.
+    marked = [s.withColumn("drop", first) for s in slices(rows, "transaction_id", DEAL_ROUNDS)]
+    for share in marked:
+        with releasing(spark):
+            share.write.mode("append").partitionBy("drop").parquet(path)
+    dealt = spark.read.schema(marked[0].schema).parquet(path)
     for i in range(3):
         with releasing(spark):
             _store_drop(dealt.where(F.col("drop") == i).drop("drop"), tables, i)

@@ -11,14 +11,14 @@ customers of a bucket. Recency and churn depend on the latest day of all, so cus
 projection over the totals, written as a whole; nothing is aggregated for customers who bought nothing.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillgrain import schemas
+from tillgrain import schemas, session
 from tillgrain.operators import gold
 from tillgrain.plans.flow import Lake
-from tillgrain.session import releasing, stage, staging
+from tillgrain.session import releasing, rounds_for, slices, stage, stage_rounds, staging
 from tillgrain.sources import lake, parts
 from tillgrain.sources.parts import Parts
 
@@ -44,14 +44,15 @@ def update_gold(
         names = parts.batches(spark, tables.silver)
         daily = Parts(spark, tables.purchases, parts.PART, PURCHASES)
         by_customer = Parts(spark, tables.customer_purchases, BUCKET, schemas.CUSTOMER_PURCHASES)
-        news = _news(spark, tables, daily.state, names)
-        # After an update that ended between the two, they lack different batches.
-        news_of_customers = (
-            news if by_customer.state == daily.state else _news(spark, tables, by_customer.state, names)
-        )
-        by_period = news.withColumn(parts.PART, F.date_format(DAY, PERIODS[period]))
-        _add_to(daily, names, by_period, (parts.PART, DAY, *ENTRY))
-        _add_to(by_customer, names, _by_customer(news_of_customers, buckets), (BUCKET, *ENTRY))
+        with staging(spark):  # the news are gone when what follows from them is made
+            news = _news(spark, tables, daily.state, names)
+            # After an update that ended between the two, they lack different batches.
+            news_of_customers = (
+                news if by_customer.state == daily.state else _news(spark, tables, by_customer.state, names)
+            )
+            by_period = news.withColumn(parts.PART, F.date_format(DAY, PERIODS[period]))
+            _add_to(daily, names, by_period, (parts.PART, DAY, *ENTRY))
+            _add_to(by_customer, names, _by_customer(news_of_customers, buckets), (BUCKET, *ENTRY))
         _derive_sales(spark, tables, daily)
         totals = _derive_totals(spark, tables, by_customer)
         stored = stage(totals.read().drop(BUCKET), "totals")
@@ -67,7 +68,7 @@ def _news(spark: SparkSession, tables: Lake, made_of: list[str] | None, names: l
     folders = [f"{tables.silver}/{parts.BATCH}={n}" for n in new]
     reader = spark.read.schema(schemas.SILVER_TRANSACTIONS)
     rows = reader.parquet(*folders) if folders else spark.createDataFrame([], schemas.SILVER_TRANSACTIONS)
-    return stage(gold.purchases(rows), "news")
+    return stage_rounds([gold.purchases(s) for s in slices(rows, "customer_id", rounds_for(rows.count()))], "news")
 
 
 def _by_customer(bought: DataFrame, buckets: int) -> DataFrame:
@@ -75,15 +76,28 @@ def _by_customer(bought: DataFrame, buckets: int) -> DataFrame:
     return bought.withColumn(BUCKET, F.pmod(F.xxhash64("customer_id"), F.lit(buckets)).cast("int"))
 
 
-def _piece(rows: DataFrame, column: str) -> Column:
-    """Which piece of its part a row belongs to; all rows of an entry are in one piece."""
-    counts = rows.groupBy(F.col(column).cast("string")).count().where(F.col("count") > ROWS_PER_PIECE).collect()
-    if not counts:
-        return F.lit(0)
-    # As many as there are large parts.
-    pieces = F.create_map(*[F.lit(x) for part, n in counts for x in (part, -(-n // ROWS_PER_PIECE))])
-    own = F.coalesce(pieces[F.col(column).cast("string")], F.lit(1))
-    return F.pmod(F.xxhash64(*ENTRY), own).cast("int")
+def _in_pieces(rows: DataFrame, column: str) -> list[DataFrame]:
+    """All rows in rounds of a bounded number, each dealt by part and piece: PIECE says which piece of its
+    part a row belongs to. All rows of an entry are in one piece, and a piece is in one round."""
+    part = F.col(column).cast("string")
+    # As many counts as there are parts, and as many pieces as there are large ones.
+    counts = sorted(rows.groupBy(part.alias("part")).count().collect(), key=lambda r: str(r["part"]))
+    large = [F.lit(x) for p, n in counts if n > ROWS_PER_PIECE for x in (p, -(-n // ROWS_PER_PIECE))]
+    pieces = F.coalesce(F.create_map(*large)[part], F.lit(1)) if large else F.lit(1)
+    marked = rows.withColumn(PIECE, F.pmod(F.xxhash64(*ENTRY), pieces).cast("int"))
+    rounds, room = [], 0
+    for p, n in counts:
+        own = part.eqNullSafe(F.lit(p))
+        if n > session.ROWS_AT_ONCE:
+            turns = rounds_for(n)
+            rounds += [own & (F.col(PIECE) % turns == i) for i in range(turns)]
+            room = 0
+        elif n <= room:
+            rounds[-1], room = rounds[-1] | own, room - n
+        else:
+            rounds, room = [*rounds, own], session.ROWS_AT_ONCE - n
+    cut = [marked.where(r) for r in rounds] if len(rounds) > 1 else [marked]
+    return [rows.repartition(column, PIECE) for rows in cut]
 
 
 def _add_to(table: Parts, names: list[str], news: DataFrame, keys: tuple[str, ...]) -> None:
@@ -99,8 +113,9 @@ def _add_to(table: Parts, names: list[str], news: DataFrame, keys: tuple[str, ..
     both = stored.unionByName(news.select(*stored.columns))
     # Exchanged once, by part and piece: small parts get few files, a large day is spread over several tasks,
     # and what has the same keys is together already when it is merged.
-    dealt = both.withColumn(PIECE, _piece(both, keys[0])).repartition(keys[0], PIECE)
-    table.replace(gold.merged(dealt, *keys, PIECE).select(*stored.columns), replaced, names)
+    dealt = _in_pieces(both, keys[0])
+    merged = [gold.merged(rows, *keys, PIECE).select(*stored.columns) for rows in dealt]
+    table.replace(merged, replaced, names)
 
 
 def _stale(made: Parts, source: Parts) -> list[str]:

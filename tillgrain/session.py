@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "tillgrain", **conf: str) -> SparkSession:
@@ -95,6 +96,30 @@ def releasing(spark: SparkSession) -> Iterator[None]:
                 spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
 
 
+# Rows that a job exchanges at once where it may go in rounds, so that its shuffle files have a bound.
+ROWS_AT_ONCE = 20_000_000
+
+
+def rounds_for(rows: int) -> int:
+    return max(1, -(-rows // ROWS_AT_ONCE))
+
+
+def slices(df: DataFrame, key: str, number: int) -> list[DataFrame]:
+    """All rows of df, cut by a hash of a column: those of the same value are in the same slice."""
+    own = F.pmod(F.xxhash64(key), F.lit(number))
+    return [df.where(own == i) for i in range(number)] if number > 1 else [df]
+
+
+def stage_rounds(frames: list[DataFrame], label: str) -> DataFrame:
+    """Stage several frames of the same columns, one after the other, as one."""
+    spark = frames[0].sparkSession
+    path = scratch_path(spark, label)
+    for df in frames:
+        with releasing(spark):
+            df.write.mode("append").parquet(path)
+    return spark.read.schema(frames[0].schema).parquet(path)
+
+
 def stage(df: DataFrame, label: str, *partition_columns: str) -> DataFrame:
     """Write df to the shared folder and read it back.
 

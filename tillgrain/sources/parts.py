@@ -109,13 +109,15 @@ class Parts:
         stored = self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*folders)
         return stored.select(*self.schema.names)
 
-    def replace(self, df: DataFrame, values: list[str], state: Any) -> None:
-        """Replace the parts with these values by the rows of df, which have no other values.
+    def replace(self, df: DataFrame | list[DataFrame], values: list[str], state: Any) -> None:
+        """Replace the parts with these values by the rows of df, which have no other values. Several
+        frames are written one after the other, and become current together.
 
         Raises Conflict if the table was changed since this object looked it up.
         """
         folder, prefix = f"{PART_SET}={uuid.uuid4().hex}", f"{self.column}="
-        df.write.partitionBy(self.column).parquet(f"{self.path}/{folder}")
+        for rows in df if isinstance(df, list) else [df]:
+            rows.write.mode("append").partitionBy(self.column).parquet(f"{self.path}/{folder}")
         written = files.names(self.spark, f"{self.path}/{folder}")
         replaced = set(values)
         parts = {v: f for v, f in self.parts.items() if v not in replaced}

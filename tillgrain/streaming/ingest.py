@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillgrain import schemas
 from tillgrain.operators import bronze, silver
-from tillgrain.session import releasing, stage, staging
+from tillgrain.session import releasing, rounds_for, slices, stage, stage_rounds, staging
 from tillgrain.sources import files, id_index, lake
 from tillgrain.sources.id_index import IdIndex
 
@@ -107,11 +107,16 @@ def stream_silver(
             # Found among the ids alone: what is left of the index's candidates is as small as the replay.
             replayed = stage(known.join(ids, F.col(IDS).eqNullSafe(F.col("_known")), "left_semi").distinct(), "replayed")
             null_is_known = not replayed.where("_known IS NULL").isEmpty()
+            rounds = rounds_for(ids.count())
+            parts_of_batch = zip(slices(batch, IDS, rounds), slices(replayed, "_known", rounds))
             # By plain equality, as the rows are dealt for their deduplication: they are not exchanged again.
-            new = silver.dedup_transactions(batch).join(replayed, F.col(IDS) == F.col("_known"), "left_anti")
+            new = [
+                silver.dedup_transactions(rows).join(gone, F.col(IDS) == F.col("_known"), "left_anti")
+                for rows, gone in parts_of_batch
+            ]
             if null_is_known:
-                new = new.where(F.col(IDS).isNotNull())
-            tagged = stage(silver.tag_failures(new), "stream_tagged")
+                new = [rows.where(F.col(IDS).isNotNull()) for rows in new]
+            tagged = stage_rounds([silver.tag_failures(rows) for rows in new], "stream_tagged")
             lake.write_batch(silver.clean_rows(tagged), clean_path, name)
             lake.write_batch(silver.quarantined_rows(tagged), quarantine_path, name)
             index.mark_done(name)
